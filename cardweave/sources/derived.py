@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardweave.operators.matching import matching_index
+
 MESSAGE_COLUMNS = [
     "job", "message_type", "type_rank", "key", "process_id", "transaction_id",
     "provider_message_id", "provider_transaction_id", "debit_card_id", "card_token",
@@ -66,13 +68,15 @@ _CARD = [
 ]
 
 
-def _finish(df: DataFrame, request: str) -> DataFrame:
-    return df.selectExpr("*", f"{request} as message").select(*MESSAGE_COLUMNS)
+def _finish(df: DataFrame, request: str, *more: str) -> DataFrame:
+    return df.selectExpr("*", f"{request} as message").select(*MESSAGE_COLUMNS, *more)
 
 
-def authorisations(spark: SparkSession, folder: str) -> DataFrame:
+def authorisations(spark: SparkSession, folder: str,
+                   more: dict[str, str] | None = None) -> DataFrame:
+    more = more or {}
     df = table(spark, folder, "orders").selectExpr(
-        "*", *_CARD, "'authorisation' as job", "'AUTHORISATION' as message_type", "1 as type_rank",
+        "*", *_CARD, *[f"{sql} as {name}" for name, sql in more.items()], "'authorisation' as job", "'AUTHORISATION' as message_type", "1 as type_rank",
         "concat('A-', o_orderkey) as process_id", "concat('A-', o_orderkey) as key",
         "concat('A-', o_orderkey) as provider_message_id",
         f"-{_cents('o_totalprice')} as settlement_amount",
@@ -80,7 +84,7 @@ def authorisations(spark: SparkSession, folder: str) -> DataFrame:
         "case when o_orderstatus = 'P' then '51' else '00' end as response_status",
         "cast(null as string) as txn_stat_code",
     )
-    return _finish(df, _request())
+    return _finish(df, _request(), *more)
 
 
 def external_authorisations(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,3 +248,96 @@ def spend_messages(spark: SparkSession, folder: str) -> DataFrame:
         f" when event_type = 'signup' then {_cents('value')} end as earmark_amount",
         "ts as transaction_timestamp",
         "case when event_id % 7 = 0 then ts + interval 2 days else ts end as processed_at")
+
+
+RECORDED = ["timestamp", "type_rank", "process_id"]
+
+
+def stored_history(spark: SparkSession, folder: str, without_job: str | None = None) -> DataFrame:
+    """History rows left by the messages of all jobs but ``without_job``.
+
+    Amounts follow a fixed rule per type, with nulls where older rows had none.
+    """
+    parts = [authorisations(spark, folder), line_messages(spark, folder)]
+    rows = parts[0].unionByName(parts[1])
+    if without_job:
+        rows = rows.where(F.col("job") != without_job)
+    return rows.selectExpr(
+        "transaction_id", "provider_transaction_id", "provider_message_id", "message_type",
+        "debit_card_id", "type_rank", "process_id", "message",
+        "linked_account_id as internal_account_id",
+        "linked_account_currency as internal_account_currency",
+        "transaction_date_time as provider_transaction_date_time",
+        "transaction_date_time as transaction_timestamp", "transaction_date_time as timestamp",
+        """case message_type when 'AUTHORISATION' then settlement_amount
+             when 'AUTH_REVERSAL' then -settlement_amount
+             when 'FINANCIAL_REVERSAL' then null
+             else cast(0 as decimal(18,2)) end as earmark_amount""",
+        "'EUR' as earmark_currency",
+        """case when message_type in ('AUTHORISATION', 'AUTH_REVERSAL') then cast(0 as decimal(18,2))
+             when message_type = 'CHARGEBACK_NON_CREDIT' then null
+             else settlement_amount end as client_amount""",
+        "'EUR' as client_currency",
+        """case when message_type in ('AUTHORISATION', 'AUTH_REVERSAL') then cast(0 as decimal(18,2))
+             when message_type = 'CHARGEBACK_NON_CREDIT' then null
+             else -settlement_amount end as wirecard_amount""",
+        "'GBP' as wirecard_currency")
+
+
+def stored_index(spark: SparkSession, folder: str, jobs: tuple[str, ...]) -> DataFrame:
+    """Index entries of the messages of some jobs."""
+    rows = messages(spark, folder).where(F.col("job").isin(*jobs))
+    return matching_index(rows.withColumnsRenamed({
+        "message": "request", "transaction_date_time": "timestamp"}), RECORDED)
+
+
+def processed_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Processed messages of all jobs with deltas by a fixed rule per job."""
+    return messages(spark, folder).selectExpr(
+        "*", "message as request", "linked_account_id as internal_account_id",
+        "linked_account_currency as internal_account_currency",
+        """case when job in ('presentment', 'financial_reversal', 'chargeback',
+             'second_presentment') then settlement_amount end as client_amount""",
+        "'EUR' as client_currency",
+        """case when job = 'second_presentment' and spend_group = 'ECOM' then null
+             when job in ('presentment', 'financial_reversal', 'chargeback', 'second_presentment')
+             then -settlement_amount end as wirecard_amount""",
+        "settlement_currency as wirecard_currency",
+        """case when job = 'authorisation' and response_status = '00' then settlement_amount
+             when job = 'authorisation_reversal' then settlement_amount
+             when job = 'presentment' then cast(0 as decimal(18,2)) end as earmark_amount""",
+        "'EUR' as earmark_currency")
+
+
+_FLAGS = {
+    "merchant": "o_orderpriority",
+    "is_balance_enquiry": "o_orderstatus = 'O' and o_orderpriority = '1-URGENT'",
+    "is_pin_change": "o_orderstatus = 'O' and o_orderpriority = '2-HIGH'",
+    "is_avs_check": "o_orderstatus = 'O' and o_orderpriority = '3-MEDIUM'",
+}
+_UNKNOWN = ("transaction_id", "response_status", "linked_account_id", "linked_account_currency")
+
+
+def authorisation_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Authorisation messages with the flags and merchant the checks read."""
+    return authorisations(spark, folder, _FLAGS).drop(*_UNKNOWN)
+
+
+def event_spend_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored totals of the cards of the event stream."""
+    return table(spark, folder, "customer").selectExpr(
+        "concat('U-', c_custkey) as debit_card_id", "explode(array('POS', 'ECOM')) as total_type",
+        "c_acctbal", "c_mktsegment",
+    ).selectExpr(
+        "debit_card_id", "total_type", f"abs({_cents('c_acctbal')}) as daily_total",
+        f"cast(abs({_cents('c_acctbal')}) * 10 as decimal(18,2)) as annual_total",
+        """timestamp_ntz '2024-01-01 00:00:00' - case c_mktsegment
+             when 'BUILDING' then interval 1 day when 'HOUSEHOLD' then interval 400 day
+             else interval 0 day end as timestamp""")
+
+
+def end_to_end_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests of all jobs, without transaction ids."""
+    others = external_authorisations(spark, folder).unionByName(line_messages(spark, folder))
+    return authorisation_requests(spark, folder).unionByName(
+        others.drop(*_UNKNOWN), allowMissingColumns=True)
