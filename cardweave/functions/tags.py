@@ -33,23 +33,32 @@ REQUEST_TAGS = (
 )
 
 
-def tag_sets(message: Column) -> Column:
-    """Array of (tag_set, priority, signature, tags); sets with a missing tag are left out.
+def signature(message: Column, names: tuple[str, ...]) -> Column:
+    """The tag values as one text, null when one is missing.
 
-    The signature is the JSON list of the values, so no two value lists collide.
+    Each value follows its own length, so no two value lists give the same text.
     """
-    entries = []
+    return F.concat(*[
+        part for n in names
+        for part in (F.length(message[n]).cast("string"), F.lit(":"), message[n])])
+
+
+def tag_sets(message: Column) -> Column:
+    """Array of (tag_set, priority, signature); explode it and drop null signatures."""
+    return F.array(*[
+        F.struct(F.lit(number).alias("tag_set"),
+                 F.lit(MATCH_PRIORITY.index(number)).alias("priority"),
+                 signature(message, names).alias("signature"))
+        for number, names in TAG_SETS.items()])
+
+
+def tags_of(message: Column, tag_set: Column) -> Column:
+    """Map of the tags that make up one tag set."""
+    out = F.lit(None).cast("map<string,string>")
     for number, names in TAG_SETS.items():
-        values = [message[n] for n in names]
-        complete = F.lit(True)
-        for v in values:
-            complete = complete & v.isNotNull()
-        tags = F.create_map(*[x for n, v in zip(names, values, strict=True) for x in (F.lit(n), v)])
-        entries.append(F.when(complete, F.struct(
-            F.lit(number).alias("tag_set"),
-            F.lit(MATCH_PRIORITY.index(number)).alias("priority"),
-            F.to_json(F.array(*values)).alias("signature"), tags.alias("tags"))))
-    return F.array_compact(F.array(*entries))
+        pairs = [x for n in names for x in (F.lit(n), message[n])]
+        out = F.when(tag_set == number, F.create_map(*pairs)).otherwise(out)
+    return out
 
 
 def accounting_tags(process_id: Column, transaction_id: Column, message_type: Column,

@@ -62,20 +62,23 @@ class Split:
 def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> Split:
     """Separate the rows of keys with more than ``limit`` rows.
 
-    Costs one pass over the key columns with map-side counting. The hot keys are
-    at most rows/limit many; they are broadcast only when few.
+    Costs one pass over the key columns with map-side counting. Keys are counted
+    by hash, which keeps the counting shuffle small; two keys that share a hash
+    can only be called hot together, and the hot way is right for any key. The
+    hot keys are at most rows/limit many and are broadcast only when few.
     """
+    hashed = F.xxhash64(*keys)
     counts = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        df.groupBy(hashed.alias("__hash")).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > limit)
     )
     found = counts.agg(F.count(F.lit(1)), F.sum("__rows")).first()
     if not found[0]:
         return Split(df, None, 0)
-    hot_keys = counts.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    hot_keys = counts.select("__hash")
     if found[0] <= BROADCAST_KEYS:
         hot_keys = F.broadcast(hot_keys)
-    on = same_keys(df, hot_keys, keys)
+    on = hashed == F.col("__hash")
     return Split(df.join(hot_keys, on, "left_anti"), df.join(hot_keys, on, "left_semi"), found[1])
 
 
@@ -173,22 +176,25 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     is linear in their rows even where one key holds many of both; right rows
     with equal time are ordered by payload, greatest wins.
     """
-    facts = F.struct(*[right[c] for c in payload])
     right_first = 1 if strict else 0
+    own = [c for c in left.columns if c not in keys]
+
+    def empty(df: DataFrame, value: Column) -> Column:
+        return F.lit(None).cast(df.select(value.alias("v")).schema["v"].dataType)
+
+    found = F.struct(*payload)
+    hashed = F.xxhash64(*keys).alias("__hash")  # sorts much faster than the keys themselves
     events = (
         left.select(
-            *[F.col(k) for k in keys], left_time.alias("__time"),
-            F.lit(1 - right_first).alias("__side"), F.struct("*").alias("__left"),
-            F.lit(None).cast(right.select(facts.alias("f")).schema["f"].dataType).alias("__right"))
+            hashed, *left.columns, left_time.alias("__time"), F.lit(1 - right_first).alias("__side"),
+            empty(right, found).alias("__right"))
         .unionByName(right.select(
-            *[F.col(k) for k in keys], right_time.alias("__time"),
-            F.lit(right_first).alias("__side"),
-            F.lit(None).cast(left.select(F.struct("*").alias("f")).schema["f"].dataType)
-            .alias("__left"),
-            facts.alias("__right")))
+            hashed, *keys, *[empty(left, F.col(c)).alias(c) for c in own],
+            right_time.alias("__time"), F.lit(right_first).alias("__side"),
+            found.alias("__right")))
     )
     scanned = running(
-        events, keys, ["__time", "__side", "__right"],
+        events, ["__hash", *keys], ["__time", "__side", "__right"],
         {"__found": Running("last", F.col("__right"))}, limit)
-    return scanned.where(F.col("__left").isNotNull()).select(
-        "__left.*", *[F.col(f"__found.{c}").alias(c) for c in payload])
+    return scanned.where(F.col("__side") == 1 - right_first).select(
+        *left.columns, *[F.col(f"__found.{c}").alias(c) for c in payload])

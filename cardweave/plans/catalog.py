@@ -15,7 +15,8 @@ from cardweave.operators.commands import earmark_commands as make_earmarks
 from cardweave.operators.ordered import Running, running
 from cardweave.operators.replay import replay
 from cardweave.plans.flow import Stored, run_batch
-from cardweave.schemas import LEDGERS, MONEY
+from cardweave.schemas import LEDGERS, MONEY, STORED_HISTORY, STORED_INDEX
+from cardweave.session import materialize
 from cardweave.sources import derived, envelope
 from cardweave.sources.derived import AS_OF, MESSAGE_ORDER, RECORDED
 from cardweave.sources.topics import RESULT_TOPIC
@@ -280,8 +281,8 @@ def presentment(spark: SparkSession, folder: str) -> DataFrame:
         "transaction_id", "linked_account_id", "linked_account_currency")
     index = derived.stored_index(spark, folder, ("authorisation", "authorisation_reversal"))
     matched = matching.match(requests, index, required=False, recorded=RECORDED)
-    linked = lookups.linked_account_asof(
-        matched.drop("message"), derived.linked_accounts(spark, folder))
+    linked = materialize(lookups.linked_account_asof(
+        matched.drop("message"), derived.linked_accounts(spark, folder)))
     return processors.process_requests(
         "presentment", linked, derived.stored_history(spark, folder, "presentment"), RECORDED,
     ).select(*RESULT_COLUMNS)
@@ -373,10 +374,8 @@ def earmarking_completed(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_tables(spark: SparkSession, folder: str) -> Stored:
     """Reference tables of the folder, and no history yet."""
-    index = derived.stored_index(spark, folder, ("authorisation",))
-    history = derived.stored_history(spark, folder).drop("message")
-    empty = {"history": spark.createDataFrame([], history.schema),
-             "index": spark.createDataFrame([], index.schema)}
+    empty = {"history": spark.createDataFrame([], STORED_HISTORY),
+             "index": spark.createDataFrame([], STORED_INDEX)}
     return Stored(
         **empty, totals=derived.spend_snapshot(spark, folder),
         settings=derived.card_settings(spark, folder),

@@ -190,24 +190,27 @@ def tag_rows(name: str, source: str) -> str:
     for number, (priority, names) in _SETS.items():
         fields = names.split()
         tags = " || ';' || ".join(f"'{f}=' || {f}" for f in fields)
+        sized = " || ".join(f"length({f}) || ':' || {f}" for f in fields)
         full = " AND ".join(f"{f} IS NOT NULL" for f in fields)
         parts.append(
             f"SELECT process_id, transaction_id, card_token, transaction_date_time AS ts, type_rank,"
+            f" provider_message_id AS message_id,"
             f" {number} AS tag_set, {priority} AS priority,"
-            f" CAST(to_json([{', '.join(fields)}]) AS VARCHAR) AS signature, {tags} AS tags"
+            f" {sized} AS signature, {tags} AS tags"
             f" FROM {source} WHERE {full}")
     return f"{name} AS ({' UNION ALL '.join(parts)})"
 
 
 def best_match(index: str, wanted: str, earlier: bool = False) -> str:
     """CTEs ending in best(process_id, matched_id)."""
-    before = ("AND (i.ts, i.type_rank, i.process_id) < (w.ts, w.type_rank, w.process_id)"
-              if earlier else "")
+    before = ("AND (i.ts, i.type_rank, i.message_id, i.process_id)"
+              " < (w.ts, w.type_rank, w.message_id, w.process_id)" if earlier else "")
+    then = "i.message_id DESC, " if earlier else ""
     return f"""
 hits_{wanted} AS (
   SELECT w.process_id, w.priority, i.transaction_id,
     row_number() OVER (PARTITION BY w.process_id ORDER BY w.priority, i.ts DESC, i.type_rank DESC,
-      i.process_id DESC, i.transaction_id DESC) AS pos
+      {then}i.process_id DESC, i.transaction_id DESC) AS pos
   FROM {wanted} w JOIN {index} i ON i.card_token = w.card_token AND i.tag_set = w.tag_set
     AND i.signature = w.signature {before}),
 best_{wanted} AS (
@@ -314,7 +317,7 @@ requests AS (
   FROM messages WHERE job = '{name}')""") + one_shot("requests", check_duplicates)
 
 
-def replay_ctes(source: str) -> str:
+def replay_ctes(source: str, by_amount: str = " settlement_amount,") -> str:
     """Recursive CTE ``st`` with one row per message of ``source``."""
     state = ("transaction_id, rn, process_id, message_type, has, w, c, e, wc, cc, ec, acct, acctc,"
              " seen, types, b, " + ", ".join(FIELDS))
@@ -331,7 +334,7 @@ def replay_ctes(source: str) -> str:
 ordered AS (
   SELECT {REQUEST}, linked_account_id AS linked, linked_account_currency AS linkedc,
     row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_date_time, type_rank,
-      provider_message_id, settlement_amount, process_id) AS rn
+      provider_message_id,{by_amount} process_id) AS rn
   FROM {source}),
 st({state}) AS (
   SELECT DISTINCT transaction_id, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
@@ -513,7 +516,7 @@ END_TO_END = _with(
   FROM ask3 LEFT JOIN best_wanted3 USING (process_id))""",
     """resolved AS (SELECT * FROM round1 UNION ALL BY NAME SELECT * FROM round2
   UNION ALL BY NAME SELECT * FROM round3)""",
-    replay_ctes("(SELECT * FROM resolved WHERE transaction_id IS NOT NULL)"),
+    replay_ctes("(SELECT * FROM resolved WHERE transaction_id IS NOT NULL)", ""),
     recursive=True) + f"""
 SELECT process_id, CASE WHEN b NOT LIKE 'E:%' THEN transaction_id END AS transaction_id,
   CASE WHEN b NOT LIKE 'E:%' THEN message_type END AS message_type,

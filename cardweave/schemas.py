@@ -114,3 +114,23 @@ JOB_MESSAGE_TYPE = {
     "second_presentment": "SEC_PRESENTMENT",
     "chargeback_non_credit": "CHARGEBACK_NON_CREDIT",
 }
+
+# place of a job's messages among messages of the same moment
+TYPE_RANK = {
+    "authorisation": 1, "externally_authorised": 2, "authorisation_reversal": 3, "presentment": 4,
+    "financial_reversal": 5, "chargeback": 6, "second_presentment": 7, "chargeback_non_credit": 8,
+}
+
+# columns that order stored rows; replay order within a transaction ends with the same ones
+RECORDED = _fields(TIME, "timestamp", "transaction_timestamp") + _fields(
+    T.IntegerType(), "type_rank") + _fields(T.StringType(), "provider_message_id", "process_id")
+
+
+def _with_recorded(schema: T.StructType, *without: str) -> T.StructType:
+    kept = [f for f in schema if f.name not in without]
+    names = {f.name for f in kept}
+    return T.StructType(kept + [f for f in RECORDED if f.name not in names])
+
+
+STORED_HISTORY = _with_recorded(CARD_TRANSACTION)
+STORED_INDEX = _with_recorded(TRANSACTION_MATCHING)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardweave.operators.matching import matching_index
+from cardweave.sources.readers import spread_small_input
 
 MESSAGE_COLUMNS = [
     "job", "message_type", "type_rank", "key", "process_id", "transaction_id",
@@ -29,6 +30,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of messages; its rows are spread over all task slots."""
+    return spread_small_input(table(spark, folder, name))
+
+
 def _cents(column: str) -> str:
     return f"cast({column} as decimal(18,2))"
 
@@ -75,7 +81,7 @@ def _finish(df: DataFrame, request: str, *more: str) -> DataFrame:
 def authorisations(spark: SparkSession, folder: str,
                    more: dict[str, str] | None = None) -> DataFrame:
     more = more or {}
-    df = table(spark, folder, "orders").selectExpr(
+    df = fact(spark, folder, "orders").selectExpr(
         "*", *_CARD, *[f"{sql} as {name}" for name, sql in more.items()], "'authorisation' as job", "'AUTHORISATION' as message_type", "1 as type_rank",
         "concat('A-', o_orderkey) as process_id", "concat('A-', o_orderkey) as key",
         "concat('A-', o_orderkey) as provider_message_id",
@@ -88,7 +94,7 @@ def authorisations(spark: SparkSession, folder: str,
 
 
 def external_authorisations(spark: SparkSession, folder: str) -> DataFrame:
-    df = table(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr(
+    df = fact(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr(
         "*", *_CARD, "'externally_authorised' as job", "'AUTHORISATION' as message_type", "2 as type_rank",
         "concat('X-', o_orderkey) as process_id", "concat('X-', o_orderkey) as key",
         "concat('X-', o_orderkey) as provider_message_id",
@@ -114,7 +120,7 @@ case when l_returnflag = 'N' then '{n}'
 def line_messages(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = fact(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     df = lines.selectExpr(
         "*", *_CARD,
         _LINE_KIND.format(n="presentment", af="authorisation_reversal", ao="second_presentment",
@@ -219,7 +225,7 @@ def spend_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """Events as topic records; the error kind carries a value that cannot be decoded."""
-    return table(spark, folder, "events").selectExpr(
+    return fact(spark, folder, "events").selectExpr(
         "cast(event_id as string) as key",
         """case when event_type = 'error' then concat('broken:', props)
            else to_json(named_struct(
@@ -233,7 +239,7 @@ def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
 
 def spend_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Processed messages of the event stream, in the order they arrived."""
-    return table(spark, folder, "events").where("event_type <> 'error'").selectExpr(
+    return fact(spark, folder, "events").where("event_type <> 'error'").selectExpr(
         "event_id", "concat('E-', event_id) as process_id",
         "concat('U-', user_id) as debit_card_id",
         "case when event_id % 2 = 0 then 'POS' else 'ECOM' end as spend_group",

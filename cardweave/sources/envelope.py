@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +45,13 @@ def to_transaction_info(decoded: DataFrame) -> DataFrame:
           if f.name not in ids])
 
 
-def to_events(rows: DataFrame, event_name: str, topic: str, payload: list[str]) -> DataFrame:
-    """Rows as topic records: key, JSON value, topic."""
+def to_events(rows: DataFrame, event_name: str, topic: str, payload: list[str],
+              keep: list[Column] | None = None) -> DataFrame:
+    """Rows as topic records: key, JSON value, topic (``keep`` gives a topic per row)."""
     value = F.to_json(F.struct(
         "key", "process_id", F.lit(event_name).alias("event_name"),
         F.struct(*payload).alias("payload")))
-    return rows.select("key", value.alias("value"), F.lit(topic).alias("topic"))
+    return rows.select("key", value.alias("value"), *(keep or [F.lit(topic).alias("topic")]))
 
 
 def to_commands(commands: DataFrame) -> DataFrame:
@@ -61,7 +62,8 @@ def to_commands(commands: DataFrame) -> DataFrame:
     return commands.select(F.col("command_key").alias("key"), value.alias("value"), "topic", "headers")
 
 
-def format_error(rows: DataFrame, event_data: str = "value") -> DataFrame:
+def format_error(rows: DataFrame, event_data: str = "value",
+                 keep: list[Column] | None = None) -> DataFrame:
     """Error records: the failed event, what went wrong and where, as one text."""
     def text(name: str):
         known = F.col(name).cast("string") if name in rows.columns else F.lit(None).cast("string")
@@ -72,4 +74,4 @@ def format_error(rows: DataFrame, event_data: str = "value") -> DataFrame:
         F.lit("[processId: "), text("process_id"), F.lit("][eventData: "), text(event_data),
         F.lit("][exceptionMessage: "), text("error"),
         F.lit("][exceptionStackTrace: "), text("stack_trace"))
-    return rows.select("key", message.alias("message"))
+    return rows.select("key", message.alias("message"), *(keep or []))
