@@ -69,16 +69,16 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> Split:
     """
     hashed = F.xxhash64(*keys)
     counts = (
-        df.groupBy(hashed.alias("__hash")).agg(F.count(F.lit(1)).alias("__rows"))
+        df.groupBy(hashed.alias("__hot_hash")).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > limit)
     )
     found = counts.agg(F.count(F.lit(1)), F.sum("__rows")).first()
     if not found[0]:
         return Split(df, None, 0)
-    hot_keys = counts.select("__hash")
+    hot_keys = counts.select("__hot_hash")
     if found[0] <= BROADCAST_KEYS:
         hot_keys = F.broadcast(hot_keys)
-    on = hashed == F.col("__hash")
+    on = hashed == F.col("__hot_hash")
     return Split(df.join(hot_keys, on, "left_anti"), df.join(hot_keys, on, "left_semi"), found[1])
 
 

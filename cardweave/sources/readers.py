@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardweave.schemas import CARD_TRANSACTION, EVENT
 
@@ -56,9 +58,10 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table written by the savers, with the batch it came from."""
-    full = schema.add("batch_id", "bigint") if "batch_id" not in schema.names else schema
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    full = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
