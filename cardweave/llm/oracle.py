@@ -7,13 +7,13 @@ WITH doc AS (
   SELECT doc_id, row_number() OVER () AS r,
          list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS words
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
   FROM documents),
 item AS (
   SELECT item_id,
          list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS words
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
   FROM benchmark),
 size AS (
   SELECT *, least(10, len(words)) AS n FROM item WHERE len(words) > 0),

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardweave.llm import decontaminate
+from cardweave.llm import decontaminate, packing, token_files
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
+from cardweave.llm.store import shared_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +21,23 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.leak_report(leaks)
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    token_files.write_token_files(_table(spark, folder, "documents"), path,
+                                  public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_documents(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack_documents(_table(spark, folder, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_token_files": op7_token_files,
+    "op8_vector_packing": op8_vector_packing,
 }
