@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardweave.llm import decontaminate, packing, token_files
+from cardweave.llm import decontaminate, lines, packing, substrings, token_files
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -36,8 +36,20 @@ def op8_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.dedup_substrings(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_token_files": op7_token_files,
     "op8_vector_packing": op8_vector_packing,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
