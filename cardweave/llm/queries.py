@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardweave.llm import decontaminate, lines, packing, substrings, token_files
+from cardweave.llm import decontaminate, lines, packing, simhash, substrings, token_files
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -21,6 +21,10 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.leak_report(leaks)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     token_files.write_token_files(_table(spark, folder, "documents"), path,
@@ -48,6 +52,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_files": op7_token_files,
     "op8_vector_packing": op8_vector_packing,
     "op9_substring_dedup": op9_substring_dedup,
