@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardweave.llm import decontaminate, lines, packing, simhash, substrings, token_files
+from cardweave.llm import (
+    boosted_quality, decontaminate, line_quality, lines, packing, simhash, substrings, token_files)
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -16,11 +17,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_line_first_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.judge_documents(_table(spark, folder, "documents"), cleaned=False)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     leaks = decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return decontaminate.leak_report(leaks)
 
 
+def op5_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return boosted_quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -51,7 +60,9 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_first_quality": op2_line_first_quality,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_boosted_quality": op5_boosted_quality,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_files": op7_token_files,
     "op8_vector_packing": op8_vector_packing,
