@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardweave.llm import (
-    boosted_quality, decontaminate, line_quality, lines, packing, simhash, substrings, token_files)
+    boosted_quality, decontaminate, html_density, line_quality, lines, packing, simhash, substrings, token_files)
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_density(spark: SparkSession, folder: str) -> DataFrame:
+    return html_density.extract_main_text(_table(spark, folder, "pages"))
+
+
 def op2_line_first_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.judge_documents(_table(spark, folder, "documents"), cleaned=False)
 
@@ -60,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_density": op1_html_density,
     "op2_line_first_quality": op2_line_first_quality,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_boosted_quality": op5_boosted_quality,
