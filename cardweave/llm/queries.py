@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardweave.llm import (
-    boosted_quality, decontaminate, html_density, line_quality, lines, packing, simhash, substrings, token_files)
+    blob_ledger, boosted_quality, decontaminate, html_density, line_quality, lines, packing, simhash, substrings, token_files)
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -25,6 +25,12 @@ def op2_line_first_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.judge_documents(_table(spark, folder, "documents"), cleaned=False)
 
 
+def op3_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    versions = blob_ledger.update_ledger(_table(spark, folder, "documents"), path)
+    return blob_ledger.secret_report(blob_ledger.spans_by_row(versions, path))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     leaks = decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return decontaminate.leak_report(leaks)
@@ -66,6 +72,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_density": op1_html_density,
     "op2_line_first_quality": op2_line_first_quality,
+    "op3_blob_ledger": op3_blob_ledger,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_boosted_quality": op5_boosted_quality,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
