@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardweave.functions.ledger import ORDER_RULES, order_ok, type_bit
-from cardweave.operators.ordered import WINDOW_ROWS, Running, asof_join, running
+from cardweave.operators.ordered import WINDOW_ROWS, Running, asof_join, numbered, running
 
 AUTHORISATION_TYPES = ("AUTHORISATION",)
-MAX_NODES = 10_000
+BROADCAST_NODES = 10_000
 
 
 def requested_history(messages: DataFrame, history: DataFrame) -> DataFrame:
@@ -80,24 +80,20 @@ def with_node(processed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Node of the internal account; rows with a blank account get a node by hash.
 
     ``nodes`` has a row per account and grows with the cards, so it is joined and
-    not broadcast. Only the list of distinct nodes, checked to be short, is.
+    not broadcast. The distinct nodes are broadcast while they are few; many
+    nodes spread a join over many keys. Without any node the columns are null.
+    Rows with and without an account are joined apart, so that no join has a
+    key that stands for none.
     """
-    distinct = nodes.select("node_id", "gps_account_id", "topic").distinct()
-    count = distinct.limit(MAX_NODES + 1).count()
-    if not 0 < count <= MAX_NODES:
-        raise ValueError(f"{count} processor nodes; expected 1 to {MAX_NODES}")
-    numbered = F.broadcast(distinct.select(
-        (F.row_number().over(Window.orderBy("node_id", "topic")) - 1).cast("bigint").alias("__slot"),
-        F.struct("node_id", "gps_account_id", "topic").alias("__any_node")))
+    parts = ["node_id", "gps_account_id", "topic"]
     owners = nodes.where(F.trim("account_id") != "").select(
-        F.col("account_id").alias("internal_account_id"),
-        F.struct("node_id", "gps_account_id", "topic").alias("__own_node"))
+        F.col("account_id").alias("internal_account_id"), *parts)
     blank = F.coalesce(F.trim("internal_account_id"), F.lit("")) == ""
-    slot = F.when(blank, F.conv(F.substring(F.md5("process_id"), 1, 8), 16, 10).cast("bigint") % count)
-    node = F.coalesce("__own_node", "__any_node")
-    return (
-        processed.join(owners, "internal_account_id", "left")
-        .withColumn("__slot", slot).join(numbered, "__slot", "left")
-        .select(*processed.columns, *[
-            node[c].alias(c) for c in ("node_id", "gps_account_id", "topic")]))
-
+    owned = processed.where(~blank).join(owners, "internal_account_id", "left")
+    slots, count = numbered(nodes.select(*parts).distinct(), ["node_id", "topic", "gps_account_id"], "__slot")
+    if count <= BROADCAST_NODES:
+        slots = F.broadcast(slots)
+    slot = F.conv(F.substring(F.md5("process_id"), 1, 8), 16, 10).cast("bigint") % max(1, count)
+    anywhere = processed.where(blank).withColumn("__slot", slot).join(slots, "__slot", "left")
+    columns = [*processed.columns, *parts]
+    return owned.select(*columns).unionByName(anywhere.select(*columns))

@@ -16,6 +16,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardweave.session import materialize
 
@@ -47,6 +48,17 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc() for n in order]
 
 
+def complete_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """``order``, then every other column, so that only exact copies of a row are left equal.
+
+    The same order holds however the rows are cut, so a result never depends on
+    the way a key's size sends it.
+    """
+    named = {n.lstrip("-") for n in order}
+    return [*order, *[f.name for f in df.schema if f.name not in named and f.name not in keys
+                      and not isinstance(f.dataType, T.MapType)]]
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality, so rows with a null key stay together."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
@@ -69,13 +81,13 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> Split:
     """
     hashed = F.xxhash64(*keys)
     counts = (
-        df.groupBy(hashed.alias("__hot_hash")).agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > limit)
+        df.select(hashed.alias("__hot_hash")).groupBy("__hot_hash")
+        .agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > limit)
     )
     found = counts.agg(F.count(F.lit(1)), F.sum("__rows")).first()
     if not found[0]:
         return Split(df, None, 0)
-    hot_keys = counts.select("__hot_hash")
+    hot_keys = materialize(counts).select("__hot_hash")
     if found[0] <= BROADCAST_KEYS:
         hot_keys = F.broadcast(hot_keys)
     on = hashed == F.col("__hot_hash")
@@ -96,15 +108,30 @@ def range_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
     return materialize(spread.withColumn("__piece", F.spark_partition_id()))
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str,
+             rows_per_piece: int = WINDOW_ROWS) -> tuple[DataFrame, int]:
+    """Number all rows from 0 in ``order``, without sorting them in one task; also their count."""
+    rows = df.count()
+    pieces = range_pieces(df, [], order, rows, rows_per_piece)
+    sizes = pieces.groupBy("__piece").agg(F.count(F.lit(1)).alias("__size"))
+    # one row per piece meets in this window, not one per row
+    before = Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__piece", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__piece").orderBy(*sort_columns(order), F.col("__tie"))
+    place = F.col("__start") + F.row_number().over(inside) - 1
+    return pieces.join(starts, "__piece").select(*df.columns, place.alias(name)), rows
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             outputs: dict[str, Running], limit: int = WINDOW_ROWS,
             exclusive: bool = False) -> DataFrame:
     """Add running values per key, in order, current row included unless ``exclusive``.
 
-    ``order`` should be a complete order for repeatable results. ``last`` needs
-    an ascending order.
+    Rows that are equal in ``order`` follow each other by their other columns.
+    ``last`` needs an ascending order.
     """
     columns = df.columns
+    order = complete_order(df, keys, order)
     end = -1 if exclusive else Window.currentRow
     split = split_hot(df, keys, limit)
     ordered = sorted(outputs.items(), key=lambda item: len(item[1].within))

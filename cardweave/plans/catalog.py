@@ -79,7 +79,7 @@ def matching_index(spark: SparkSession, folder: str) -> DataFrame:
 def match_required(spark: SparkSession, folder: str) -> DataFrame:
     requests = derived.messages(spark, folder).where(
         F.col("job").isin(*MATCHED_JOBS)).drop("transaction_id")
-    index = derived.stored_index(spark, folder, ("authorisation",))
+    index = derived.stored_index(spark, folder)
     return matching.match(requests, index, required=True, recorded=RECORDED).select(
         "process_id", "transaction_id", "error")
 
@@ -87,7 +87,7 @@ def match_required(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def match_optional(spark: SparkSession, folder: str) -> DataFrame:
     requests = derived.messages(spark, folder).where("job = 'presentment'").drop("transaction_id")
-    index = derived.stored_index(spark, folder, ("authorisation", "authorisation_reversal"))
+    index = derived.stored_index(spark, folder)
     return matching.match(requests, index, required=False, recorded=RECORDED).select(
         "process_id", "matched_id", "transaction_id")
 
@@ -95,14 +95,10 @@ def match_optional(spark: SparkSession, folder: str) -> DataFrame:
 # --- lookups -------------------------------------------------------------------------
 
 
-def _external(spark: SparkSession, folder: str) -> DataFrame:
-    return derived.external_authorisations(spark, folder)
-
-
 @query
 def history_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return lookups.history_lookup(
-        _external(spark, folder), derived.stored_history(spark, folder),
+        derived.messages(spark, folder), derived.stored_history(spark, folder),
         [f"-{c}" for c in RECORDED],
     ).select("transaction_id", "position", "process_id", "message_type", "earmark_amount",
              "client_amount", "wirecard_amount")
@@ -112,7 +108,7 @@ def history_lookup(spark: SparkSession, folder: str) -> DataFrame:
 def latest_transaction(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["process_id", "message_type", "earmark_amount", "client_amount", "wirecard_amount"]
     found = lookups.latest_transaction(
-        _external(spark, folder), derived.stored_history(spark, folder), columns, RECORDED)
+        derived.messages(spark, folder), derived.stored_history(spark, folder), columns, RECORDED)
     return found.select("process_id", "transaction_id",
                         *[F.col(f"latest.{c}").alias(f"latest_{c}") for c in columns])
 
@@ -135,9 +131,9 @@ def linked_account_asof(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message against the history of all messages stored up to a day."""
     return lookups.flag_duplicates(
-        derived.line_messages(spark, folder).where("job = 'chargeback'"),
-        derived.stored_history(spark, folder, "chargeback"),
+        derived.messages(spark, folder), derived.stored_history(spark, folder, until=derived.CUT),
     ).select("process_id", "transaction_id", "provider_message_id", "is_duplicate")
 
 
@@ -160,7 +156,7 @@ def auth_enrichment(spark: SparkSession, folder: str) -> DataFrame:
     enriched = enrich_auth(
         derived.authorisation_requests(spark, folder), derived.card_settings(spark, folder),
         derived.account_balances(spark, folder), derived.spend_snapshot(spark, folder),
-        derived.stored_index(spark, folder, ("presentment",)), RECORDED)
+        derived.stored_index(spark, folder), RECORDED)
     return enriched.select(
         "process_id", "matched_id", "transaction_id", "gated", "reads_balance",
         F.col("settings.card_status").alias("card_status"),
@@ -256,7 +252,7 @@ def authorisation(spark: SparkSession, folder: str) -> DataFrame:
     return authorise(
         derived.authorisation_requests(spark, folder), derived.card_settings(spark, folder),
         derived.account_balances(spark, folder), derived.spend_snapshot(spark, folder),
-        derived.stored_index(spark, folder, ("presentment",)),
+        derived.stored_index(spark, folder),
         derived.stored_history(spark, folder, "authorisation"), RECORDED,
     ).select(
         *RESULT_COLUMNS, "response_status",
@@ -271,7 +267,8 @@ def authorisation_reversal(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def externally_authorised(spark: SparkSession, folder: str) -> DataFrame:
-    return _job("externally_authorised", _external(spark, folder), folder)
+    return _job(
+        "externally_authorised", derived.external_authorisations(spark, folder), folder)
 
 
 @query
@@ -279,7 +276,7 @@ def presentment(spark: SparkSession, folder: str) -> DataFrame:
     """Matched through the index; unmatched or without history settles offline."""
     requests = derived.messages(spark, folder).where("job = 'presentment'").drop(
         "transaction_id", "linked_account_id", "linked_account_currency")
-    index = derived.stored_index(spark, folder, ("authorisation", "authorisation_reversal"))
+    index = derived.stored_index(spark, folder)
     matched = matching.match(requests, index, required=False, recorded=RECORDED)
     linked = materialize(lookups.linked_account_asof(
         matched.drop("message"), derived.linked_accounts(spark, folder)))

@@ -154,7 +154,7 @@ processed AS (
   FROM messages)"""
 
 
-def history(without_job: str = "") -> str:
+def history(without_job: str = "", until: str = "9999-01-01") -> str:
     return f"""
 hist AS (
   SELECT transaction_id, provider_message_id, message_type, type_rank, process_id,
@@ -167,7 +167,7 @@ hist AS (
     CASE WHEN message_type IN ('AUTHORISATION', 'AUTH_REVERSAL') THEN {ZERO}
       WHEN message_type <> 'CHARGEBACK_NON_CREDIT' THEN -settlement_amount END AS w,
     'GBP' AS wc, 'EUR' AS cc, 'EUR' AS ec
-  FROM messages WHERE job NOT IN ('externally_authorised', '{without_job}')),
+  FROM messages WHERE job <> '{without_job}' AND transaction_date_time < TIMESTAMP '{until}'),
 newest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
     ORDER BY ts DESC, type_rank DESC, process_id DESC) AS pos FROM hist) WHERE pos = 1),
@@ -394,15 +394,11 @@ answered AS (
     AS response_status FROM checked)"""
 
 
-def _auth_match(index_source: str) -> list[str]:
-    return [MESSAGES, SETTINGS, _AUTH_REQUESTS, f"idx_from AS ({index_source})",
-            tag_rows("idx", "idx_from"), "open_auths AS (SELECT * FROM flagged WHERE NOT enquiry"
+def _auth_match() -> list[str]:
+    return [MESSAGES, SETTINGS, _AUTH_REQUESTS, tag_rows("idx", "messages"), "open_auths AS (SELECT * FROM flagged WHERE NOT enquiry"
             " AND NOT silent)", tag_rows("wanted", "open_auths"), best_match("idx", "wanted")]
 
 
-_PRESENTMENTS = "SELECT * FROM messages WHERE job = 'presentment'"
-
-
 # --- spend -----------------------------------------------------------------------------
 
 _FIRST_AUTH = """
@@ -545,15 +541,14 @@ FROM events WHERE event_type = 'error'""",
 SELECT process_id, transaction_id, card_token, tag_set, signature, tags,
   CAST(NULL AS VARCHAR) AS error FROM idx""",
     "match_required": _with(
-        MESSAGES, tag_rows("idx", "auths"),
+        MESSAGES, tag_rows("idx", "messages"),
         "asked AS (SELECT * FROM messages WHERE job NOT IN ('authorisation', 'presentment'))",
         tag_rows("wanted", "asked"), best_match("idx", "wanted")) + """
 SELECT process_id, matched_id AS transaction_id,
   CASE WHEN matched_id IS NULL THEN 'no_matching_transaction' END AS error
 FROM asked LEFT JOIN best_wanted USING (process_id)""",
     "match_optional": _with(
-        MESSAGES, "openers AS (SELECT * FROM messages WHERE job IN ('authorisation',"
-        " 'authorisation_reversal'))", tag_rows("idx", "openers"),
+        MESSAGES, tag_rows("idx", "messages"),
         "asked AS (SELECT * FROM messages WHERE job = 'presentment')",
         tag_rows("wanted", "asked"), best_match("idx", "wanted")) + """
 SELECT process_id, matched_id, coalesce(matched_id, process_id) AS transaction_id
@@ -562,12 +557,12 @@ FROM asked LEFT JOIN best_wanted USING (process_id)""",
 SELECT transaction_id, row_number() OVER (PARTITION BY transaction_id
     ORDER BY ts DESC, type_rank DESC, process_id DESC) AS position, process_id, message_type,
   e AS earmark_amount, c AS client_amount, w AS wirecard_amount
-FROM hist WHERE transaction_id IN (SELECT transaction_id FROM exts)""",
+FROM hist WHERE transaction_id IN (SELECT transaction_id FROM messages)""",
     "latest_transaction": _with(MESSAGES, history()) + """
 SELECT x.process_id, x.transaction_id, n.process_id AS latest_process_id,
   n.message_type AS latest_message_type, n.e AS latest_earmark_amount,
   n.c AS latest_client_amount, n.w AS latest_wirecard_amount
-FROM exts x LEFT JOIN newest n USING (transaction_id)""",
+FROM messages x LEFT JOIN newest n USING (transaction_id)""",
     "first_authorisation": _with(MESSAGES, history()) + """
 SELECT transaction_id, process_id, e AS earmark_amount FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_id
@@ -578,18 +573,18 @@ SELECT m.process_id, m.debit_card_id, m.transaction_date_time, l.account_id AS l
   l.account_currency AS linked_account_currency, l.from_timestamp
 FROM messages m ASOF LEFT JOIN linked l
   ON l.debit_card_id = m.debit_card_id AND m.transaction_date_time >= l.from_timestamp""",
-    "duplicate_check": _with(MESSAGES, history("chargeback")) + """
+    "duplicate_check": _with(MESSAGES, history(until="1995-06-17")) + """
 SELECT process_id, transaction_id, provider_message_id, EXISTS (
     SELECT 1 FROM hist h WHERE h.transaction_id = l.transaction_id
       AND h.provider_message_id = l.provider_message_id) AS is_duplicate
-FROM lines l WHERE job = 'chargeback'""",
+FROM messages l""",
     "order_validation": _with(MESSAGES, history()) + f"""
 SELECT process_id, transaction_id, message_type, {_ORDERED} AS order_ok
 FROM lines JOIN kinds_seen USING (transaction_id)""",
     "node_lookup": _with(MESSAGES, PROCESSED, NODES) + """
 SELECT process_id, linked_account_id AS internal_account_id, node_id, gps AS gps_account_id, topic
 FROM placed""",
-    "auth_enrichment": _with(*_auth_match(_PRESENTMENTS), CHECKED) + """
+    "auth_enrichment": _with(*_auth_match(), CHECKED) + """
 SELECT process_id, matched_id, tx AS transaction_id, gated, NOT silent AS reads_balance,
   card_status, available, daily_total, annual_total FROM enriched""",
     "spend_enrichment": _with(EVENTS, _FIRST_AUTH) + """
@@ -621,7 +616,7 @@ FROM (SELECT s.*, a.earmark AS auth,
   LEFT JOIN newest_auth a ON a.transaction_id = s.transaction_id
     AND s.message_type = 'PRESENTMENT')""",
     "authorisation": _with(
-        *_auth_match(_PRESENTMENTS), CHECKED, history("authorisation"), """
+        *_auth_match(), CHECKED, history("authorisation"), """
 requests AS (
   SELECT process_id, tx AS transaction_id, message_type, job, settlement_amount AS s,
     settlement_currency AS sc, response_status AS status, txn_stat_code AS stat,
@@ -633,8 +628,7 @@ requests AS (
     "externally_authorised": job("externally_authorised", False),
     "presentment": _with(
         MESSAGES, LINKED, history("presentment"),
-        "openers AS (SELECT * FROM messages WHERE job IN ('authorisation',"
-        " 'authorisation_reversal'))", tag_rows("idx", "openers"),
+        tag_rows("idx", "messages"),
         "asked AS (SELECT * FROM messages WHERE job = 'presentment')",
         tag_rows("wanted", "asked"), best_match("idx", "wanted"), f"""
 requests AS (

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardweave.operators.matching import matching_index
-from cardweave.sources.readers import spread_small_input
 
 MESSAGE_COLUMNS = [
     "job", "message_type", "type_rank", "key", "process_id", "transaction_id",
@@ -20,6 +19,9 @@ MESSAGE_COLUMNS = [
     "message",
 ]
 
+# a day in the middle of the messages
+CUT = "1995-06-17 00:00:00"
+
 # complete replay order
 MESSAGE_ORDER = [
     "transaction_date_time", "type_rank", "provider_message_id", "settlement_amount", "process_id",
@@ -30,11 +32,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of messages; its rows are spread over all task slots."""
-    return spread_small_input(table(spark, folder, name))
-
-
 def _cents(column: str) -> str:
     return f"cast({column} as decimal(18,2))"
 
@@ -81,8 +78,9 @@ def _finish(df: DataFrame, request: str, *more: str) -> DataFrame:
 def authorisations(spark: SparkSession, folder: str,
                    more: dict[str, str] | None = None) -> DataFrame:
     more = more or {}
-    df = fact(spark, folder, "orders").selectExpr(
-        "*", *_CARD, *[f"{sql} as {name}" for name, sql in more.items()], "'authorisation' as job", "'AUTHORISATION' as message_type", "1 as type_rank",
+    df = table(spark, folder, "orders").selectExpr(
+        "*", *_CARD, *[f"{sql} as {name}" for name, sql in more.items()],
+        "'authorisation' as job", "'AUTHORISATION' as message_type", "1 as type_rank",
         "concat('A-', o_orderkey) as process_id", "concat('A-', o_orderkey) as key",
         "concat('A-', o_orderkey) as provider_message_id",
         f"-{_cents('o_totalprice')} as settlement_amount",
@@ -94,7 +92,7 @@ def authorisations(spark: SparkSession, folder: str,
 
 
 def external_authorisations(spark: SparkSession, folder: str) -> DataFrame:
-    df = fact(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr(
+    df = table(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr(
         "*", *_CARD, "'externally_authorised' as job", "'AUTHORISATION' as message_type", "2 as type_rank",
         "concat('X-', o_orderkey) as process_id", "concat('X-', o_orderkey) as key",
         "concat('X-', o_orderkey) as provider_message_id",
@@ -120,7 +118,7 @@ case when l_returnflag = 'N' then '{n}'
 def line_messages(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    lines = fact(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     df = lines.selectExpr(
         "*", *_CARD,
         _LINE_KIND.format(n="presentment", af="authorisation_reversal", ao="second_presentment",
@@ -225,7 +223,7 @@ def spend_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """Events as topic records; the error kind carries a value that cannot be decoded."""
-    return fact(spark, folder, "events").selectExpr(
+    return table(spark, folder, "events").selectExpr(
         "cast(event_id as string) as key",
         """case when event_type = 'error' then concat('broken:', props)
            else to_json(named_struct(
@@ -239,7 +237,7 @@ def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
 
 def spend_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Processed messages of the event stream, in the order they arrived."""
-    return fact(spark, folder, "events").where("event_type <> 'error'").selectExpr(
+    return table(spark, folder, "events").where("event_type <> 'error'").selectExpr(
         "event_id", "concat('E-', event_id) as process_id",
         "concat('U-', user_id) as debit_card_id",
         "case when event_id % 2 = 0 then 'POS' else 'ECOM' end as spend_group",
@@ -259,15 +257,17 @@ def spend_messages(spark: SparkSession, folder: str) -> DataFrame:
 RECORDED = ["timestamp", "type_rank", "process_id"]
 
 
-def stored_history(spark: SparkSession, folder: str, without_job: str | None = None) -> DataFrame:
-    """History rows left by the messages of all jobs but ``without_job``.
+def stored_history(spark: SparkSession, folder: str, without_job: str | None = None,
+                   until: str | None = None) -> DataFrame:
+    """History rows left by the messages of all jobs but ``without_job``, or those before ``until``.
 
     Amounts follow a fixed rule per type, with nulls where older rows had none.
     """
-    parts = [authorisations(spark, folder), line_messages(spark, folder)]
-    rows = parts[0].unionByName(parts[1])
+    rows = messages(spark, folder)
     if without_job:
         rows = rows.where(F.col("job") != without_job)
+    if until:
+        rows = rows.where(F.col("transaction_date_time") < F.lit(until).cast("timestamp_ntz"))
     return rows.selectExpr(
         "transaction_id", "provider_transaction_id", "provider_message_id", "message_type",
         "debit_card_id", "type_rank", "process_id", "message",
@@ -290,10 +290,9 @@ def stored_history(spark: SparkSession, folder: str, without_job: str | None = N
         "'GBP' as wirecard_currency")
 
 
-def stored_index(spark: SparkSession, folder: str, jobs: tuple[str, ...]) -> DataFrame:
-    """Index entries of the messages of some jobs."""
-    rows = messages(spark, folder).where(F.col("job").isin(*jobs))
-    return matching_index(rows.withColumnsRenamed({
+def stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Index entries of the messages of all jobs."""
+    return matching_index(messages(spark, folder).withColumnsRenamed({
         "message": "request", "transaction_date_time": "timestamp"}), RECORDED)
 
 

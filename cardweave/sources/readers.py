@@ -41,16 +41,6 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str],
         "topic", F.col("timestamp").alias("ts"), "headers")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has task slots.
-
-    A small file with one row group is read by one task, and without a shuffle all
-    later work stays in that task. Inputs with enough splits are left alone.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Stored history rows; a table that was never written is empty."""
     return read_table(spark, path, CARD_TRANSACTION)
