@@ -388,5 +388,5 @@ def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
         derived.end_to_end_requests(spark, folder), stored_tables(spark, folder),
         F.lit(AS_OF).cast("timestamp_ntz"))
     done = outcome.processed.select(*RESULT_COLUMNS)
-    lost = outcome.errors.select("process_id", "error")
+    lost = outcome.rejected.select("process_id", "error")
     return done.unionByName(lost, allowMissingColumns=True)

@@ -242,7 +242,7 @@ BRANCH = f"""CASE
     WHEN linked IS NULL THEN 'E:no_linked_account' ELSE 'offline' END
   WHEN job = 'chargeback_non_credit' THEN CASE WHEN s <> 0 THEN 'E:non_zero_settlement'
     WHEN NOT has THEN 'E:empty_history' ELSE 'processed' END
-  ELSE CASE WHEN status = '00' THEN 'accepted' ELSE 'declined' END END"""
+  ELSE CASE WHEN has AND dup THEN 'duplicate' WHEN status = '00' THEN 'accepted' ELSE 'declined' END END"""
 
 _UNDO = "b = 'processed' AND job IN ('authorisation_reversal', 'externally_authorised')"
 _SETTLE = "b IN ('online', 'offline')"
@@ -477,50 +477,87 @@ _MIRRORED = "coalesce((client < 0 AND wirecard > 0) OR (client > 0 AND wirecard
 # --- end to end ------------------------------------------------------------------------
 
 _MSG = """job, message_type, type_rank, process_id, provider_message_id, settlement_amount,
-  settlement_currency, transaction_date_time, txn_stat_code, card_token, debit_card_id,
+  settlement_currency, transaction_date_time, txn_stat_code, card_token, debit_card_id, spend_group,
   traceid_lifecycle, trans_link, auth_code_de38, acquirer_reference_data_031, txn_ccy,
-  pos_time_de12, ret_ref_no_de37"""
+  pos_time_de12, ret_ref_no_de37, provider_transaction_id"""
 
-END_TO_END = _with(
+
+def _key(number: int) -> str:
+    fields = _SETS[number][1].split()
+    sized = " || ".join(f"length({f}) || ':' || {f}" for f in fields)
+    full = " AND ".join(f"{f} IS NOT NULL" for f in fields)
+    return f"CASE WHEN {full} THEN '{number}/' || {sized} END"
+
+
+_KEYS = ", ".join(_key(n) for n in sorted(_SETS, key=lambda n: _SETS[n][0]))
+_LEDGER = ("STRUCT(w DECIMAL(18,2), c DECIMAL(18,2), e DECIMAL(18,2), wc VARCHAR, cc VARCHAR, ec VARCHAR,"
+           " acct VARCHAR, acctc VARCHAR, seen VARCHAR[], types VARCHAR[])")
+_OK = "b NOT LIKE 'E:%'"
+_NULLS = ", ".join(f"CAST(NULL AS {'DECIMAL(18,2)' if n.endswith('_amount') else 'VARCHAR'})" for n in FIELDS)
+
+# one card at a time, message by message: what was stored under each key and for each transaction
+FLOW = _with(
     *[MESSAGES, SETTINGS, LINKED, _AUTH_REQUESTS],
     "best_wanted AS (SELECT process_id, transaction_id AS matched_id FROM messages WHERE false)",
-    CHECKED,
-    f"""round1 AS (
-  SELECT {_MSG}, tx AS transaction_id, response_status, own_account AS linked_account_id,
-    'EUR' AS linked_account_currency FROM answered)""",
-    tag_rows("index1", "round1"),
-    "ask2 AS (SELECT * FROM messages WHERE job IN ('presentment', 'externally_authorised',"
-    " 'authorisation_reversal'))",
-    tag_rows("wanted2", "ask2"), best_match("index1", "wanted2", earlier=True),
-    f"""round2 AS (
-  SELECT {_MSG}, CASE WHEN matched_id IS NOT NULL THEN matched_id
-      WHEN job = 'presentment' THEN process_id END AS transaction_id,
-    CAST(NULL AS VARCHAR) AS response_status, account_id AS linked_account_id,
-    account_currency AS linked_account_currency
-  FROM (SELECT a.*, b.matched_id, l.account_id, l.account_currency FROM ask2 a
-    LEFT JOIN best_wanted2 b USING (process_id)
-    ASOF LEFT JOIN linked l ON l.debit_card_id = a.debit_card_id
-      AND a.transaction_date_time >= l.from_timestamp))""",
-    tag_rows("index2", "(SELECT * FROM round2 WHERE transaction_id IS NOT NULL)"),
-    "index3 AS (SELECT * FROM index1 UNION ALL SELECT * FROM index2)",
-    "ask3 AS (SELECT * FROM messages WHERE job IN ('financial_reversal', 'chargeback',"
-    " 'chargeback_non_credit', 'second_presentment'))",
-    tag_rows("wanted3", "ask3"), best_match("index3", "wanted3", earlier=True),
-    f"""round3 AS (
-  SELECT {_MSG}, matched_id AS transaction_id, CAST(NULL AS VARCHAR) AS response_status,
-    CAST(NULL AS VARCHAR) AS linked_account_id, CAST(NULL AS VARCHAR) AS linked_account_currency
-  FROM ask3 LEFT JOIN best_wanted3 USING (process_id))""",
-    """resolved AS (SELECT * FROM round1 UNION ALL BY NAME SELECT * FROM round2
-  UNION ALL BY NAME SELECT * FROM round3)""",
-    replay_ctes("(SELECT * FROM resolved WHERE transaction_id IS NOT NULL)", ""),
-    recursive=True) + f"""
-SELECT process_id, CASE WHEN b NOT LIKE 'E:%' THEN transaction_id END AS transaction_id,
-  CASE WHEN b NOT LIKE 'E:%' THEN message_type END AS message_type,
-  CASE WHEN b LIKE 'E:%' THEN substr(b, 3) END AS error,
-  CASE WHEN b NOT LIKE 'E:%' THEN b END AS outcome, {", ".join(FIELDS)}
-FROM st WHERE rn > 0
-UNION ALL BY NAME
-SELECT process_id, 'no_matching_transaction' AS error FROM resolved WHERE transaction_id IS NULL"""
+    CHECKED, f"""
+prepared AS (
+  SELECT {_MSG}, response_status, own_account AS linked_account_id, 'EUR' AS linked_account_currency,
+    NOT gated AS asks FROM answered
+  UNION ALL BY NAME
+  SELECT {_MSG.replace('debit_card_id', 'm.debit_card_id')}, CAST(NULL AS VARCHAR) AS response_status,
+    l.account_id AS linked_account_id, l.account_currency AS linked_account_currency, true AS asks
+  FROM (SELECT * FROM messages WHERE job IN ('presentment', 'externally_authorised',
+    'authorisation_reversal')) m
+  ASOF LEFT JOIN linked l ON l.debit_card_id = m.debit_card_id
+    AND m.transaction_date_time >= l.from_timestamp
+  UNION ALL BY NAME
+  SELECT {_MSG}, CAST(NULL AS VARCHAR) AS response_status, CAST(NULL AS VARCHAR) AS linked_account_id,
+    CAST(NULL AS VARCHAR) AS linked_account_currency, true AS asks
+  FROM messages WHERE job IN ('financial_reversal', 'chargeback', 'chargeback_non_credit',
+    'second_presentment'))""", f"""
+queue AS (
+  SELECT *, list_filter([{_KEYS}], lambda k: k IS NOT NULL) AS keys,
+    settlement_amount AS s, settlement_currency AS sc, response_status AS status, txn_stat_code AS stat,
+    linked_account_id AS linked, linked_account_currency AS linkedc,
+    row_number() OVER (PARTITION BY card_token ORDER BY transaction_date_time, type_rank,
+      provider_message_id, process_id) AS rn
+  FROM prepared)""", f"""
+st(card_token, rn, process_id, transaction_id, known, ledgers, b, {", ".join(FIELDS)}) AS (
+  SELECT DISTINCT card_token, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+    CAST(MAP {{}} AS MAP(VARCHAR, VARCHAR)), CAST(MAP {{}} AS MAP(VARCHAR, {_LEDGER})),
+    CAST(NULL AS VARCHAR), {_NULLS} FROM queue
+  UNION ALL
+  SELECT card_token, rn, process_id, tx,
+    CASE WHEN {_OK} AND len(keys) > 0 THEN map_concat(known,
+      map_from_entries(list_transform(keys, lambda k: {{'k': k, 'v': tx}}))) ELSE known END,
+    CASE WHEN {_OK} THEN map_concat(ledgers, CAST(MAP {{tx: {{'w': total_wirecard_amount,
+      'c': total_client_amount, 'e': total_earmark_amount, 'wc': total_wirecard_currency,
+      'cc': total_client_currency, 'ec': total_earmark_currency, 'acct': internal_account_id,
+      'acctc': internal_account_currency, 'seen': list_append(seen, provider_message_id),
+      'types': list_append(types, message_type)}}}} AS MAP(VARCHAR, {_LEDGER}))) ELSE ledgers END,
+    b, {", ".join(FIELDS)}
+  FROM (SELECT *, {", ".join(_typed(n) for n in FIELDS)} FROM (
+    SELECT *, CASE WHEN tx IS NULL THEN 'E:no_matching_transaction' ELSE {BRANCH} END AS b FROM (
+    SELECT *, z IS NOT NULL AS has, z.w AS w, z.c AS c, z.e AS e, z.wc AS wc, z.cc AS cc, z.ec AS ec,
+      z.acct AS acct, z.acctc AS acctc, coalesce(z.seen, []) AS seen, coalesce(z.types, []) AS types,
+      coalesce(list_contains(z.seen, provider_message_id), false) AS dup FROM (
+    SELECT *, ledgers[tx] AS z FROM (
+    SELECT *, coalesce(matched, CASE WHEN job IN ('authorisation', 'presentment') THEN process_id END) AS tx
+    FROM (
+    SELECT q.*, st.known, st.ledgers, CASE WHEN asks THEN list_filter(list_transform(q.keys,
+      lambda k: st.known[k]), lambda t: t IS NOT NULL)[1] END AS matched
+    FROM st JOIN queue q ON q.card_token = st.card_token AND q.rn = st.rn + 1)))))))""", f"""
+done AS (
+  SELECT {", ".join('q.' + c.strip() for c in _MSG.split(','))}, q.response_status, q.linked_account_id,
+    st.transaction_id, st.b, {", ".join('st.' + n for n in FIELDS)}
+  FROM st JOIN queue q ON q.card_token = st.card_token AND q.rn = st.rn)""", recursive=True)
+
+END_TO_END = FLOW + f"""
+SELECT process_id, CASE WHEN {_OK} THEN transaction_id END AS transaction_id,
+  CASE WHEN {_OK} THEN message_type END AS message_type,
+  CASE WHEN NOT {_OK} THEN substr(b, 3) END AS error,
+  CASE WHEN {_OK} THEN b END AS outcome, {", ".join(FIELDS)}
+FROM done"""
 
 
 ORACLES: dict[str, str] = {
@@ -621,7 +658,7 @@ requests AS (
   SELECT process_id, tx AS transaction_id, message_type, job, settlement_amount AS s,
     settlement_currency AS sc, response_status AS status, txn_stat_code AS stat,
     provider_message_id, own_account AS linked, 'EUR' AS linkedc, v1, v2, v3, v4, v5
-  FROM answered)""") + one_shot("requests", False, """,
+  FROM answered)""") + one_shot("requests", True, """,
   status AS response_status, v1 AS status_valid, v2 AS transaction_type_valid,
   v3 AS merchant_valid, v4 AS velocity_valid, v5 AS balance_valid"""),
     "authorisation_reversal": job("authorisation_reversal"),
