@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from cardweave.functions.tags import accounting_tags
 from cardweave.operators.lookups import with_node
+from cardweave.schemas import HEADERS
 
+# Names of the command protocol.
 SYSTEM = "CARDS_GPS"
 COMMAND_NAME = "ACCOUNTING_COMMAND_RECEIVED"
 REPLY_TO = "reply-to"
-HEADERS = "array<struct<key:string,value:binary>>"
 
 
 @dataclass(frozen=True)
@@ -105,7 +106,7 @@ def earmark_commands(processed: DataFrame, nodes: DataFrame, reply_topic: str) -
     needs = _moves("earmark_amount")
     direction = earmark_direction()
     command_id = F.sha2(F.concat("process_id", F.lit("|earmark")), 256)
-    data = F.to_json(F.struct(*processed.columns))
+    data = F.to_json(F.struct(*[c for c in processed.columns if c != "headers"]))
     body = command_body(direction, F.col("earmark_amount"), F.col("earmark_currency"), command_id,
                         "AVAILABLE", "NONE", data)
     commands, errors = _emit(processed.where(needs), direction, body, command_id,

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from cardweave.operators import lookups, matching, processors, spend
 from cardweave.operators.authorisation import authorise, enrich_auth
+from cardweave.operators.commands import Split
 from cardweave.operators.commands import accounting_commands as make_accounting
 from cardweave.operators.commands import earmark_commands as make_earmarks
 from cardweave.operators.ordered import Running, running
 from cardweave.operators.replay import replay
-from cardweave.plans.flow import Stored, run_batch
+from cardweave.plans.flow import Outcome, Stored, run_batch
 from cardweave.schemas import LEDGERS, MONEY, STORED_HISTORY, STORED_INDEX
 from cardweave.session import materialize
 from cardweave.sources import derived, envelope
@@ -381,12 +382,57 @@ def stored_tables(spark: SparkSession, folder: str) -> Stored:
         nodes=derived.processor_nodes(spark, folder))
 
 
+def _flow(spark: SparkSession, folder: str, processed_at: Column | None = None) -> Outcome:
+    return run_batch(derived.end_to_end_requests(spark, folder), stored_tables(spark, folder),
+                     F.lit(AS_OF).cast("timestamp_ntz") if processed_at is None else processed_at)
+
+
 @query
 def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """All requests of all jobs through matching and replay, errors included."""
-    outcome = run_batch(
-        derived.end_to_end_requests(spark, folder), stored_tables(spark, folder),
-        F.lit(AS_OF).cast("timestamp_ntz"))
+    outcome = _flow(spark, folder)
     done = outcome.processed.select(*RESULT_COLUMNS)
     lost = outcome.rejected.select("process_id", "error")
     return done.unionByName(lost, allowMissingColumns=True)
+
+
+@query
+def flow_history(spark: SparkSession, folder: str) -> DataFrame:
+    """History rows that the processed messages of the flow leave."""
+    amounts = [f"{ledger}_{part}" for ledger in LEDGERS for part in ("amount", "currency")]
+    return _flow(spark, folder).history.select(
+        "process_id", "transaction_id", "provider_message_id", "provider_transaction_id", "message_type",
+        "debit_card_id", "internal_account_id", "internal_account_currency", *amounts)
+
+
+@query
+def flow_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Index rows that the processed messages of the flow leave."""
+    return _flow(spark, folder).index.select(
+        "process_id", "transaction_id", "card_token", "tag_set", "signature", "error")
+
+
+@query
+def flow_spend(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend totals of the flow, each message processed at its own time; errors included."""
+    outcome = _flow(spark, folder, F.col("transaction_date_time"))
+    saved = outcome.spend.select("process_id", "action", "daily_total", "annual_total")
+    return saved.unionByName(outcome.spend_errors.select("process_id", "error"), allowMissingColumns=True)
+
+
+@query
+def flow_commands(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounting and earmark commands of the flow, rejected ones included."""
+    outcome = _flow(spark, folder)
+
+    def rows(name: str, split: Split) -> DataFrame:
+        info, accounts = F.col("command.transaction_info"), F.col("command.accounting_info")
+        sent = split.commands.select(
+            F.lit(name).alias("kind"), "process_id", "topic", info["transaction_type"].alias("direction"),
+            info["amount"].alias("amount"), info["currency"].alias("currency"),
+            accounts["debit_account"]["account_id"].alias("debit_account"),
+            accounts["credit_account"]["account_id"].alias("credit_account"))
+        return sent.unionByName(split.errors.select(F.lit(name).alias("kind"), "process_id", "error"),
+                                allowMissingColumns=True)
+
+    return rows("accounting", outcome.accounting).unionByName(rows("earmark", outcome.earmarking))

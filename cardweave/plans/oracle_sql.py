@@ -560,7 +560,92 @@ SELECT process_id, CASE WHEN {_OK} THEN transaction_id END AS transaction_id,
 FROM done"""
 
 
+FLOW_HISTORY = FLOW + """
+SELECT process_id, transaction_id, provider_message_id, provider_transaction_id, message_type, debit_card_id,
+  internal_account_id, internal_account_currency, total_wirecard_amount AS wirecard_amount,
+  total_wirecard_currency AS wirecard_currency, total_client_amount AS client_amount,
+  total_client_currency AS client_currency, total_earmark_amount AS earmark_amount,
+  total_earmark_currency AS earmark_currency
+FROM done WHERE b NOT LIKE 'E:%'"""
+
+FLOW_INDEX = FLOW + ", " + tag_rows("rows", "(SELECT * FROM done WHERE b NOT LIKE 'E:%')") + """
+SELECT process_id, transaction_id, card_token, tag_set, signature, CAST(NULL AS VARCHAR) AS error FROM rows"""
+
+_MOVED = "(coalesce(client_amount, 0) + coalesce(earmark_amount, 0))"
+
+FLOW_SPEND = FLOW + f""", fine AS (
+  SELECT *, CASE WHEN message_type = 'PRESENTMENT' THEN last_value(CASE WHEN message_type = 'AUTHORISATION'
+      THEN {{'e': total_earmark_amount}} END IGNORE NULLS) OVER (PARTITION BY transaction_id
+      ORDER BY transaction_date_time, type_rank, provider_message_id, process_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS auth
+  FROM done WHERE b NOT LIKE 'E:%'),
+acted AS (
+  SELECT *, CASE WHEN message_type = 'AUTHORISATION' AND coalesce(response_status = '00', false)
+      OR message_type = 'PRESENTMENT' AND coalesce(client_amount, 0) < 0 THEN 'recalculate'
+    WHEN job = 'externally_authorised' THEN 'revert' ELSE 'none' END AS action
+  FROM fine WHERE job IN ('authorisation', 'externally_authorised', 'presentment')),
+judged AS (
+  SELECT *, action = 'recalculate' AND {_MOVED} < 0 AND auth IS NOT NULL AND auth.e IS NULL AS bad,
+    CASE WHEN action = 'recalculate' AND {_MOVED} < 0 THEN abs({_MOVED}) - coalesce(abs(auth.e), 0)
+      WHEN action = 'revert' AND earmark_amount > 0 THEN -earmark_amount ELSE 0 END AS change
+  FROM acted WHERE action <> 'none'),
+first_saved AS (
+  SELECT debit_card_id, spend_group, min(transaction_date_time) AS f FROM judged WHERE NOT bad GROUP BY ALL),
+summed AS (
+  SELECT *, sum(change) OVER (PARTITION BY debit_card_id, spend_group, CAST(transaction_date_time AS DATE)
+      ORDER BY transaction_date_time, type_rank, process_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS day_sum,
+    sum(change) OVER (PARTITION BY debit_card_id, spend_group, year(transaction_date_time)
+      ORDER BY transaction_date_time, type_rank, process_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS year_sum
+  FROM judged WHERE NOT bad)
+SELECT process_id, action, CAST(NULL AS VARCHAR) AS error,
+  CAST(day_sum + CASE WHEN CAST(stored_at AS DATE) = CAST(f AS DATE)
+    AND CAST(transaction_date_time AS DATE) = CAST(f AS DATE) THEN t.daily_total ELSE 0 END
+    AS DECIMAL(18,2)) AS daily_total,
+  CAST(year_sum + CASE WHEN year(stored_at) = year(f) AND year(transaction_date_time) = year(f)
+    THEN t.annual_total ELSE 0 END AS DECIMAL(18,2)) AS annual_total
+FROM summed JOIN first_saved USING (debit_card_id, spend_group)
+LEFT JOIN snapshot t USING (debit_card_id, spend_group)
+UNION ALL
+SELECT process_id, NULL, 'missing_authorisation_earmark', NULL, NULL FROM judged WHERE bad"""
+
+
+def _flow_command(kind: str, amount: str, currency: str, jobs: str, needed: str, wrong: str, sign: str) -> str:
+    def pick(a: str, b: str) -> str:
+        return f"CASE WHEN why IS NULL THEN CASE WHEN {amount} < 0 THEN {a} ELSE {b} END END"
+
+    return f"""
+SELECT '{kind}' AS kind, process_id, CASE WHEN why IS NULL THEN topic END AS topic,
+  {pick("'DEBIT'", "'CREDIT'")} AS direction, CASE WHEN why IS NULL THEN abs({amount}) END AS amount,
+  CASE WHEN why IS NULL THEN {currency} END AS currency,
+  {pick('internal_account_id', 'gps')} AS debit_account,
+  {pick('gps', 'internal_account_id')} AS credit_account, why AS error
+FROM (SELECT *, CASE WHEN NOT ({sign}) THEN '{wrong}' WHEN topic IS NULL THEN 'no_processor_node' END AS why
+  FROM (SELECT d.*, coalesce(o.gps_account_id, s.gps_account_id) AS gps, coalesce(o.topic, s.topic) AS topic
+    FROM done d LEFT JOIN nodes o ON o.account_id = d.internal_account_id
+    LEFT JOIN slots s ON coalesce(trim(d.internal_account_id), '') = ''
+      AND s.slot = CAST('0x' || substr(md5(d.process_id), 1, 8) AS BIGINT) % s.n
+    WHERE b NOT LIKE 'E:%' AND job IN ({jobs}) AND {needed}))"""
+
+
+FLOW_COMMANDS = FLOW + ", " + NODES.split("placed AS")[0].rstrip().rstrip(",") + _flow_command(
+    "accounting", "client_amount", "client_currency",
+    "'presentment', 'financial_reversal', 'chargeback', 'second_presentment'",
+    "(coalesce(client_amount <> 0, false) OR coalesce(wirecard_amount <> 0, false))",
+    "inconsistent_ledger_signs",
+    "coalesce(client_amount < 0 AND wirecard_amount > 0 OR client_amount > 0 AND wirecard_amount < 0, false)",
+) + " UNION ALL " + _flow_command(
+    "earmark", "earmark_amount", "earmark_currency",
+    "'authorisation', 'externally_authorised', 'authorisation_reversal', 'presentment'",
+    "coalesce(earmark_amount <> 0, false)", "no_earmark_direction", "true")
+
+
 ORACLES: dict[str, str] = {
+    "flow_history": FLOW_HISTORY,
+    "flow_index": FLOW_INDEX,
+    "flow_spend": FLOW_SPEND,
+    "flow_commands": FLOW_COMMANDS,
     "decode_envelope": f"""
 SELECT CAST(event_id AS VARCHAR) AS key, 'cards.' || event_type || '.request' AS topic,
   CASE WHEN ok THEN 'E-' || event_id END AS process_id,

@@ -33,6 +33,7 @@ TRANSACTION_INFO = T.StructType(
     + _fields(T.StringType(), "transaction_currency")
     + _fields(TIME, "transaction_date_time")
     + _fields(T.BooleanType(), "is_balance_enquiry", "is_pin_change", "is_avs_check")
+    + _fields(T.StringType(), "merchant")
     + [T.StructField("message", MESSAGE)]
 )
 
@@ -95,7 +96,9 @@ PROCESSOR_NODE = T.StructType(
 )
 
 # an event on a topic, and the payload inside its value
-EVENT = T.StructType(_fields(T.StringType(), "key", "value", "topic"))
+HEADERS = T.ArrayType(T.StructType(_fields(T.StringType(), "key") + _fields(T.BinaryType(), "value")))
+EVENT = T.StructType(
+    _fields(T.StringType(), "key", "value", "topic") + [T.StructField("headers", HEADERS)])
 ENVELOPE_FIELDS = ("key", "process_id", "event_name", "payload")
 
 MESSAGE_TYPES = (

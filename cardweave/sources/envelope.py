@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardweave.schemas import TRANSACTION_INFO
+from cardweave.schemas import HEADERS, TRANSACTION_INFO
 
 CORRUPT = "_undecodable"
 
@@ -37,10 +37,11 @@ def split_errors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_transaction_info(decoded: DataFrame) -> DataFrame:
-    """Flatten decoded request events to the columns the request jobs work on."""
+    """Flatten decoded request events to the columns the request jobs work on, headers kept."""
     ids = {"key", "process_id"}
+    headers = F.col("headers") if "headers" in decoded.columns else F.lit(None)
     return decoded.select(
-        "topic", F.col("event.key").alias("key"), F.col("event.process_id").alias("process_id"),
+        "topic", headers.cast(HEADERS).alias("headers"), F.col("event.key").alias("key"), F.col("event.process_id").alias("process_id"),
         *[F.col(f"event.payload.{f.name}").alias(f.name) for f in TRANSACTION_INFO
           if f.name not in ids])
 

@@ -15,10 +15,10 @@ from cardweave.schemas import CARD_TRANSACTION, EVENT
 
 def read_messages(spark: SparkSession, path: str, topic: str, streaming: bool = False,
                   fmt: str = "json") -> DataFrame:
-    """Records of one topic kept as files: key, value, topic."""
+    """Records of one topic kept as files: key, value, topic, headers."""
     source = spark.readStream if streaming else spark.read
     return source.format(fmt).schema(EVENT).load(path).select(
-        "key", "value", F.lit(topic).alias("topic"))
+        "key", "value", F.lit(topic).alias("topic"), "headers")
 
 
 def read_topics(spark: SparkSession, paths: dict[str, str], streaming: bool = False,
@@ -33,12 +33,12 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str],
     """The same record shape from Kafka; needs Spark's Kafka connector on the class path."""
     source = spark.readStream if streaming else spark.read
     reader = source.format("kafka").option("kafka.bootstrap.servers", servers).option(
-        "subscribe", ",".join(topics))
+        "subscribe", ",".join(topics)).option("includeHeaders", "true")
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader.load().select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        "topic", F.col("timestamp").alias("ts"), "headers")
+        "topic", "headers")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

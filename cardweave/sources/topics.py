@@ -41,6 +41,7 @@ RESULT_TOPIC = {
     "accounting": f"{PREFIX}.accounting.completed",
 }
 
+# Event names of the results.
 EVENT_NAME = {
     "request": "RESPONSE_MESSAGE",
     "save_history": "MESSAGE_SAVED",

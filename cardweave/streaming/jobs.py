@@ -7,6 +7,7 @@ a failure reads the same state and replaces its own output.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +19,12 @@ from cardweave.schemas import (
     JOB_MESSAGE_TYPE, SPENDING_TOTALS, STORED_HISTORY, STORED_INDEX, TRANSACTION_INFO, TYPE_RANK)
 from cardweave.session import materialize
 from cardweave.sources import envelope, sinks
-from cardweave.sources.readers import read_table, read_topics
+from cardweave.sources.readers import read_table
 from cardweave.sources.topics import EVENT_NAME, RESULT_TOPIC, error_topic, request_topic, response_topic
 
+# sends topic records: name of the output, rows, batch number
+Publish = Callable[[str, DataFrame, int], None]
+
 RESPONSE = [
     "transaction_id", "provider_message_id", "provider_transaction_id", "debit_card_id",
     "spend_group", "message_type", "transaction_timestamp", "client_amount", "client_currency",
@@ -57,7 +61,7 @@ def to_requests(decoded: DataFrame) -> DataFrame:
     return envelope.to_transaction_info(decoded).withColumns({
         "job": by_topic(jobs), "type_rank": by_topic(TYPE_RANK),
         "message_type": by_topic(JOB_MESSAGE_TYPE),
-        "txn_stat_code": F.col("message.txn_stat_code"), "merchant": F.lit(None).cast("string"),
+        "txn_stat_code": F.col("message.txn_stat_code"),
     }).drop("topic", "transaction_id")
 
 
@@ -74,8 +78,14 @@ def stored_before(spark: SparkSession, job: Job, batch_id: int) -> Stored:
         nodes=job.nodes)
 
 
-def process_batch(records: DataFrame, batch_id: int, job: Job) -> Outcome:
-    """Decode, process and store one micro-batch of request events."""
+def process_batch(records: DataFrame, batch_id: int, job: Job,
+                  publish: Publish | None = None) -> Outcome:
+    """Decode, process and store one micro-batch of request events.
+
+    ``publish(name, records, batch_id)`` sends the events, commands and errors as
+    topic records; without it they go to folders of the job.
+    """
+    publish = publish or (lambda name, rows, n: sinks.publish(rows, job.path(name), n))
     spark = records.sparkSession
     decoded, broken = envelope.split_errors(envelope.decode(materialize(records), TRANSACTION_INFO))
     outcome = run_batch(to_requests(decoded), stored_before(spark, job, batch_id), job.processed_at)
@@ -84,9 +94,9 @@ def process_batch(records: DataFrame, batch_id: int, job: Job) -> Outcome:
         outcome.history, outcome.index.where(F.col("error").isNull()).drop("error"),
         job.path("history"), job.path("index"), batch_id)
     sinks.save_totals(outcome.totals, job.path("totals"), batch_id)
-    sinks.publish(_events(outcome), job.path("events"), batch_id)
+    publish("events", _events(outcome), batch_id)
     commands = outcome.accounting.commands.unionByName(outcome.earmarking.commands)
-    sinks.publish(envelope.to_commands(commands), job.path("commands"), batch_id)
+    publish("commands", envelope.to_commands(commands), batch_id)
     failed = outcome.errors.select("key", "process_id", "error", "job").unionByName(
         outcome.accounting.errors.select("key", "process_id", "error", "job")).unionByName(
         outcome.earmarking.errors.select("key", "process_id", "error", "job"))
@@ -94,7 +104,7 @@ def process_batch(records: DataFrame, batch_id: int, job: Job) -> Outcome:
     errors = envelope.format_error(failed, "job", keep=[topic.alias("topic")]).unionByName(
         envelope.format_error(broken, keep=[F.replace(
             "topic", F.lit(".request"), F.lit(".error")).alias("topic")]))
-    sinks.publish(errors.withColumnRenamed("message", "value"), job.path("errors"), batch_id)
+    publish("errors", errors.withColumnRenamed("message", "value"), batch_id)
     return outcome
 
 
@@ -116,12 +126,14 @@ def _events(outcome: Outcome) -> DataFrame:
     return out
 
 
-def run_stream(spark: SparkSession, sources: dict[str, str], job: Job,
-               checkpoint: str) -> StreamingQuery:
-    """Process all records available in the topics' folders, then stop."""
-    records = read_topics(spark, sources, streaming=True)
+def run_stream(records: DataFrame, job: Job, checkpoint: str,
+               publish: Publish | None = None) -> StreamingQuery:
+    """Process all records that a stream has (key, value, topic, headers), then stop.
+
+    The stream may come from any reader of topics, ``publish`` may send to any sink.
+    """
     return (
-        records.writeStream.foreachBatch(lambda df, batch_id: process_batch(df, batch_id, job))
+        records.writeStream.foreachBatch(lambda df, batch_id: process_batch(df, batch_id, job, publish) and None)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
