@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cardweave.operators.ordered import Running, asof_join, running
-from cardweave.operators.lookups import flag_duplicates
+from cardweave.operators.ordered import Running, asof_join, numbered, running
+from cardweave.operators.lookups import flag_duplicates, with_node
 from cardweave.operators.processors import to_card_transaction, to_message_processed
 from cardweave.operators.replay import history_state, replay
 from cardweave.session import materialize
@@ -90,3 +90,44 @@ def test_replay_in_two_batches(spark, folder):
     for limit in (1_000, 4):
         second = replay(flagged, MESSAGE_ORDER, start=history_state(history, MESSAGE_ORDER), limit=limit)
         same(replay(rows, MESSAGE_ORDER), first.unionByName(second))
+
+
+def test_null_ids_and_ties_do_not_depend_on_size(spark, folder):
+    """Null ids are errors, and deliveries that differ only in amount keep one order."""
+    rows = derived.messages(spark, folder).drop("message").where("job = 'presentment'").limit(60)
+    nulls = rows.withColumn("transaction_id", F.lit(None).cast("string"))
+    ties = rows.withColumns({
+        "transaction_id": F.lit("hot"), "process_id": F.lit("p"), "provider_message_id": F.concat(
+            F.lit("m"), (F.hash("key") % 20).cast("string")),
+        "transaction_date_time": F.lit("1998-01-01").cast("timestamp_ntz")})
+    both = nulls.unionByName(ties)
+    order = ["transaction_date_time", "type_rank", "provider_message_id", "process_id"]
+    whole = replay(both, order, limit=1_000_000)
+    same(whole, replay(both, order, limit=10))
+    same(whole, replay(both.orderBy(F.rand(5)), order, limit=7))
+    assert whole.where("transaction_id is null and not error <=> 'missing_transaction_id'").isEmpty()
+    window = {"total": Running("sum", F.col("settlement_amount"))}
+    by_kind = ties.select("transaction_id", "type_rank", "settlement_amount", "key")
+    same(running(by_kind, ["transaction_id"], ["type_rank"], window),
+         running(by_kind, ["transaction_id"], ["type_rank"], window, limit=9))
+
+
+def test_many_nodes_and_none(spark):
+    processed = spark.range(200).select(
+        F.col("id").cast("string").alias("process_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("acc"), F.col("id"))).alias("internal_account_id"))
+    nodes = spark.range(12_000).select(
+        F.concat(F.lit("acc"), F.col("id")).alias("account_id"), F.col("id").cast("string").alias("node_id"),
+        F.lit("g").alias("gps_account_id"), F.lit("t").alias("topic"))
+    placed = with_node(processed, nodes)
+    assert placed.count() == 200 and placed.where("node_id is null").isEmpty()
+    assert placed.where("internal_account_id is not null and concat('acc', node_id) <> internal_account_id"
+                        ).isEmpty()
+    same(placed, with_node(processed, nodes.orderBy(F.rand(1))))
+    assert with_node(processed, nodes.limit(0)).where("topic is not null").isEmpty()
+
+
+def test_numbers_follow_the_order(spark):
+    rows = spark.range(300).select((F.col("id") * 37 % 300).alias("n"))
+    out, count = numbered(rows, ["n"], "at", rows_per_piece=40)
+    assert count == 300 and out.where("at <> n").isEmpty() and out.count() == 300

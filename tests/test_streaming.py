@@ -1,5 +1,7 @@
 """A stream leaves what its batches leave, and a repeated batch adds nothing."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,7 +69,7 @@ def test_stream_equals_batches(spark, folder, records, tmp_path):
     for part in parts:
         for topic, path in folders.items():
             part.where(F.col("topic") == topic).drop("at").coalesce(1).write.mode("append").json(path)
-        query = run_stream(spark, folders, job, str(tmp_path / "checkpoint"))
+        query = run_stream(read_topics(spark, folders, streaming=True), job, str(tmp_path / "checkpoint"))
         query.awaitTermination(600)
         assert query.exception() is None
     assert state(spark, job) == expected
@@ -80,16 +82,54 @@ def test_stream_equals_batches(spark, folder, records, tmp_path):
 
 def test_redelivery_in_a_later_batch_moves_nothing(spark, folder, records, tmp_path):
     job = make_job(spark, folder, tmp_path / "again")
-    one_kind = records.where(F.col("topic").isin(
-        request_topic("authorisation"), request_topic("presentment")))
-    process_batch(one_kind.drop("at"), 0, job)
-    again = process_batch(
-        records.where(F.col("topic") == request_topic("presentment")).drop("at"), 1, job)
+    both = records.where(F.col("topic").isin(
+        request_topic("authorisation"), request_topic("presentment"))).drop("at")
+    process_batch(both, 0, job)
+    again = process_batch(both, 1, job)
     stored = read_table(spark, job.path("history"), STORED_HISTORY).where("batch_id = 0").select(
         "transaction_id", "provider_message_id").distinct()
     known = again.processed.join(stored, ["transaction_id", "provider_message_id"], "left_semi")
-    assert not known.isEmpty()
-    assert known.where("outcome <> 'duplicate' or client_amount is not null").isEmpty()
+    assert {r["job"] for r in known.select("job").distinct().collect()} == {"authorisation", "presentment"}
+    assert known.where("outcome <> 'duplicate' or client_amount is not null or earmark_amount is not null"
+                       ).isEmpty()
+
+
+def test_batch_cut_does_not_matter(spark, folder, records, tmp_path):
+    """One batch and several in time order leave the same rows."""
+    states = []
+    for cuts in ([], ["1997-01-01", "1998-06-01"]):
+        job = make_job(spark, folder, tmp_path / f"cut{len(cuts)}")
+        edges = [None, *cuts, None]
+        for n, (low, high) in enumerate(zip(edges, edges[1:])):
+            part = records
+            part = part.where(F.col("at") >= low) if low else part
+            part = part.where(F.col("at") < high) if high else part
+            process_batch(part.drop("at"), n, job)
+        states.append(state(spark, job))
+    assert states[0] and states[0] == states[1]
+
+
+def test_merchant_and_headers_arrive(spark, folder, records, tmp_path):
+    """A blocked merchant declines a request, and a command has the request's headers before its own."""
+    job = make_job(spark, folder, tmp_path / "headers")
+    job = replace(job, settings=job.settings.withColumns({
+        "card_status": F.lit("ACTIVE"), "allowed_types": F.array(F.lit("POS"), F.lit("ECOM")),
+        "blocked_merchants": F.array(F.lit("5-LOW"))}))
+    auths, merchant = records.where(F.col("topic") == request_topic("authorisation")).drop("at"), F.get_json_object(
+        "value", "$.payload.merchant")
+    mine = auths.where(merchant == "5-LOW").limit(3)
+    free = auths.where(merchant != "5-LOW").limit(40)
+    sent = mine.unionByName(free).withColumn("headers", F.array(F.struct(
+        F.lit("trace").alias("key"), F.encode(F.col("key"), "UTF-8").alias("value"))))
+    published = {}
+    outcome = process_batch(sent, 0, job, lambda name, rows, n: published.setdefault(name, rows.collect()))
+    assert {r["response_status"] for r in outcome.processed.where("merchant = '5-LOW' and spend_group is not null").collect()} == {"57"}
+    assert set(published) == {"events", "commands", "errors"}
+    commands = outcome.earmarking.commands.select("process_id", "headers").collect()
+    assert commands
+    for row in commands:
+        assert [h["key"] for h in row["headers"]] == ["trace", "reply-to"]
+        assert bytes(row["headers"][0]["value"]).decode() == row["process_id"]
 
 
 def test_undecodable_records_reach_the_error_topic(spark, folder, records, tmp_path):
