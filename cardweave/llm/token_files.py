@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cardweave.llm.bpe import token_ids, with_end
 from cardweave.llm.store import shipped
 
+#: Shards, thus tasks that wrote, up to which their offsets (16 bytes each) are broadcast.
+BROADCAST_SHARDS = 200_000
 #: Ids after which a block is closed at the end of a document.
 BLOCK_IDS = 1 << 16
 
@@ -132,6 +134,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    if sizes.limit(BROADCAST_SHARDS + 1).count() <= BROADCAST_SHARDS:
+        bases = F.broadcast(bases)  # else the payloads move to their offsets
     return blocks.join(bases, "shard").withColumn("start", F.col("base") + F.col("first")).drop("base")
 
 
