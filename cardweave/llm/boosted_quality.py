@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cardweave.llm.store import shipped, stored
+from cardweave.llm.store import shipped, slices, stored
 from cardweave.llm.text_stats import repeated_lines, repeated_words
 
 #: Labelled rows that the trees are fitted on at most; a documented bound.
@@ -65,7 +65,7 @@ def statistics(text: str | None) -> list[float]:
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = np.array([statistics(t.as_py()) for t in batch.column(0)], np.float32).reshape(-1, len(STATISTICS))
         values = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(STATISTICS),
                                           pa.array(rows.reshape(-1)))
@@ -153,7 +153,7 @@ def fit_trees(rows: np.ndarray, good: np.ndarray, how: Boosting = Boosting()) ->
 
 def _scoring(trees: Trees):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False)
             found = trees.scores(rows.reshape(-1, len(STATISTICS)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())],
@@ -209,7 +209,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", tex
     place = docs.columns.index(text)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             with_text = [pa.RecordBatch.from_arrays([batch.column(1).field(place), *batch.columns],
                                                     names=["text", *batch.schema.names])]
             yield from _measured(iter(with_text))

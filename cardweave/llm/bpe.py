@@ -73,12 +73,12 @@ class TokenIds:
 
     def _clear(self) -> None:
         self.memo: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}  # ids as packed 32-bit integers
         self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.pool = np.zeros(1 << 14, np.uint32)
         self.runs = self.used = 0
 
-    def _keep(self, ids: list[int]) -> int:
+    def _keep(self, ids: np.ndarray | list[int]) -> int:
         """Number of a new run of ids."""
         if self.runs == len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * self.runs), np.resize(self.sizes, 2 * self.runs)
@@ -93,21 +93,21 @@ class TokenIds:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> np.ndarray | list[int]:
         """Ids of one word; printable ASCII goes to the library's model piece by piece."""
         real = word if not self.spaced or word.startswith("\n") else " " + word
         if not (word.isascii() and word.replace("\n", "").isprintable()):
             return self._whole(real)
-        pieces = _SPACED.findall(real) if self.spaced else _BARE.findall(real.lower())
-        ids: list[int] = []
-        for piece in pieces:
+        parts = []
+        for piece in _SPACED.findall(real) if self.spaced else _BARE.findall(real.lower()):
             own = self.pieces.get(piece)
             if own is None:
-                own = [t.id for t in self.tokenizer.model.tokenize(piece.translate(_BYTE_NAMES))]
+                ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(_BYTE_NAMES))]
+                own = np.array(ids, np.uint32).tobytes()
                 if len(self.pieces) < self.memo_words:
                     self.pieces[piece] = own
-            ids += own
-        return ids
+            parts.append(own)
+        return np.frombuffer(b"".join(parts), np.uint32)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has. Null has none."""

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cardweave.llm.store import shipped
+from cardweave.llm.store import shipped, slices
 
 #: Consecutive words of an item that count as a leak.
 WINDOW = 10
@@ -115,7 +115,7 @@ def _scan(block, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = searches(block.value, window)
-        for batch in batches:
+        for batch in slices(batches):
             counts, found = [], []
             for text in batch.column(0):
                 words = words_of(text.as_py())

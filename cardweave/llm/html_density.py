@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardweave.llm.store import shipped
+from cardweave.llm.store import shipped, slices
 
 # Element kinds of the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -243,7 +243,7 @@ def main_text(page: str | None) -> str:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [main_text(p.as_py()) for p in batch.column(0)]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[1:], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardweave.llm.store import shipped
+from cardweave.llm.store import shipped, slices
 from cardweave.llm.text_stats import SPACE, SYMBOLS, repeated_lines, repeated_words
 
 
@@ -105,7 +105,7 @@ _FIELDS = [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa
 
 def _judging(rules: LineRules, fields: list) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [judge(t.as_py(), rules) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array([x[name] for x in found], kind) for name, kind in fields)],

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cardweave.llm.bpe import token_ids, with_end
-from cardweave.llm.store import shipped
+from cardweave.llm.store import shipped, slices
 
 
 @dataclass(frozen=True)
@@ -151,7 +151,7 @@ def _packing(limits: Limits, examples: Callable[[pa.RecordBatch], Iterator[tuple
              ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, base = Packer(limits), TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             for doc, ids, prompt in examples(batch):
                 packer.add(doc, ids, prompt)
                 if len(packer.out) >= 4096:
@@ -189,11 +189,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, end_id: int, doc_id: str
     Null and empty texts are the end id alone. Other columns are ignored.
     """
     def read(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray, int]]:
-        # A few texts at a time, so that a batch of long ones is not held as ids.
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            ids, counts = with_end(*token_ids(tokenizer).encode(part.column(1).to_pylist()), end_id)
-            for doc, own in zip(part.column(0).to_pylist(), np.split(ids, np.cumsum(counts)[:-1])):
-                yield doc, own, 0
+        ids, counts = with_end(*token_ids(tokenizer).encode(batch.column(1).to_pylist()), end_id)
+        for doc, own in zip(batch.column(0).to_pylist(), np.split(ids, np.cumsum(counts)[:-1])):
+            yield doc, own, 0
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return shipped(rows).mapInArrow(_packing(limits, read), _PIECES)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cardweave.llm.components import components
-from cardweave.llm.store import shipped, stored
+from cardweave.llm.store import shipped, slices, stored
 
 #: Words of a shingle.
 SHINGLE = 4
@@ -54,7 +54,7 @@ def fingerprint(text: str | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         bits = np.fromiter((fingerprint(t.as_py()) for t in batch.column(0)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(bits.view(np.int64))],
                                          names=[*batch.schema.names[1:], "bits"])

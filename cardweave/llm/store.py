@@ -5,11 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that a Python worker turns into results at a time.
+SLICE_ROWS = 1_000
+
 #: Applications whose executors have this package already.
 _SHIPPED: set[str] = set()
 
@@ -62,3 +67,10 @@ def shipped(df: DataFrame) -> DataFrame:
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
     return df
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spark's batches in parts, so that a worker holds the results of few texts at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)

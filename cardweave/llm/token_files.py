@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardweave.llm.bpe import token_ids, with_end
-from cardweave.llm.store import shipped
+from cardweave.llm.store import shipped, slices
 
 #: Shards, thus tasks that wrote, up to which their offsets (16 bytes each) are broadcast.
 BROADCAST_SHARDS = 200_000
@@ -89,7 +89,7 @@ def _encode(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.Rec
         schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.int64()),
                             ("n_ids", pa.int64()), ("bits", pa.int32()), ("docs", pa.list_(pa.int64())),
                             ("ends", pa.list_(pa.int64())), ("payload", pa.binary())])
-        for batch in batches:
+        for batch in slices(batches):
             ids, counts = with_end(*encoder.encode(batch.column(1).to_pylist()), end_id)
             ends, names, at = np.cumsum(counts), batch.column(0).to_pylist(), 0
             while at < len(names):
@@ -141,7 +141,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for at in range(batch.num_rows):  # one block's payload at a time
+            row = batch.slice(at, 1).to_pylist()[0]
             ends = np.array(row["ends"], np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             ids = unpack_bits(row["payload"], row["bits"], 0, row["n_ids"]).astype("<u4").tobytes()
