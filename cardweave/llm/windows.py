@@ -7,8 +7,10 @@ the network once a group. A bucket finds the smallest id of each hash and answer
 with the windows for which another group has a smaller one. Groups then mark
 the covered units of their documents.
 
-What moves are packed blocks, one for each group and bucket, of about eight bytes
-a window, and the texts once.
+Windows are told apart by 80 bits: a 64-bit hash, and 16 bits of a second one that
+only windows with the same first hash are compared by. What moves are packed
+blocks, one for each group and bucket, of about ten bytes a window, and the texts
+once.
 """
 
 from __future__ import annotations
@@ -29,10 +31,10 @@ BUCKET_WINDOWS = 1 << 21
 
 #: Stands for a null id: no id is larger.
 _LAST = np.int64(2 ** 63 - 1)
-# Odd base of the polynomial that hashes a window of unit hashes.
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+# Odd bases of the two polynomials that hash a window of unit hashes.
+_BASE, _SECOND_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-_SENT = "bucket int, grp int, hashes binary, owners binary, ids binary"
+_SENT = "bucket int, grp int, hashes binary, checks binary, owners binary, ids binary"
 _REPLY = "grp int, bucket int, found binary"
 
 
@@ -60,6 +62,17 @@ class Group:
     distinct: np.ndarray  # hashes, ascending
     first: np.ndarray     # first window, by distinct hash
     which: np.ndarray     # distinct hash, by window
+    checks: np.ndarray    # bits of the second hash, by distinct hash
+
+
+def _rolled(unit: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
+    """Polynomial of every ``width`` consecutive unit hashes, modulo 2**64."""
+    n = len(unit) - width + 1
+    out = unit[:n].copy()
+    for k in range(1, width):
+        out *= base
+        out += unit[k:n + k]
+    return out
 
 
 def _group(table: pa.Table, kind: Units) -> Group:
@@ -71,19 +84,17 @@ def _group(table: pa.Table, kind: Units) -> Group:
         ends.append(len(units))
     ends = np.array(ends, np.int64)
     n = len(units) - kind.width + 1
+    rolled = second = np.zeros(0, np.uint64)
+    starts = owner = np.zeros(0, np.int64)
     if n > 0:
         unit = kind.hashes(units)
-        rolled = unit[:n].copy()
-        for k in range(1, kind.width):
-            rolled *= _BASE
-            rolled += unit[k:n + k]
         document = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         starts = np.flatnonzero(document[:n] == document[kind.width - 1:])
-        rolled, owner = rolled[starts], document[starts]
-    else:
-        starts, rolled, owner = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        owner = document[starts]
+        rolled, second = (_rolled(unit, kind.width, base)[starts] for base in (_BASE, _SECOND_BASE))
     distinct, first, which = np.unique(rolled, return_index=True, return_inverse=True)
-    return Group(rows, ids[rows], units, ends, starts, owner, distinct, first, which)
+    checks = (second[first] >> np.uint64(48)).astype("<u2")
+    return Group(rows, ids[rows], units, ends, starts, owner, distinct, first, which, checks)
 
 
 def _cuts(distinct: np.ndarray, bits: int) -> np.ndarray:
@@ -106,19 +117,21 @@ def _send(kind: Units, bits: int):
     def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         group = _group(table, kind)
         cuts = _cuts(group.distinct, bits)
-        out = {"bucket": [], "hashes": [], "owners": [], "ids": []}
+        out = {"bucket": [], "hashes": [], "checks": [], "owners": [], "ids": []}
         owner = group.owner[group.first]
         for bucket in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[bucket], cuts[bucket + 1])
             docs, at = np.unique(owner[own], return_inverse=True)
             out["bucket"].append(bucket)
             out["hashes"].append(_planes(np.diff(group.distinct[own], prepend=np.uint64(0))))
+            out["checks"].append(_planes(group.checks[own]))
             out["owners"].append(_planes(at.astype("<u4")))
-            out["ids"].append(group.ids[docs].tobytes())
+            out["ids"].append(_planes(np.diff(group.ids[docs], prepend=np.int64(0))))
         n = len(out["bucket"])
         return pa.table({"bucket": pa.array(out["bucket"], pa.int32()),
                          "grp": pa.array([key[0].as_py()] * n, pa.int32()),
                          "hashes": pa.array(out["hashes"], pa.binary()),
+                         "checks": pa.array(out["checks"], pa.binary()),
                          "owners": pa.array(out["owners"], pa.binary()),
                          "ids": pa.array(out["ids"], pa.binary())})
     return send
@@ -126,7 +139,8 @@ def _send(kind: Units, bits: int):
 
 def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     hashes = [np.cumsum(_values(x.as_py(), "<u8"), dtype=np.uint64) for x in table.column("hashes")]
-    owners = [np.frombuffer(ids.as_py(), "<i8")[_values(at.as_py(), "<u4")]
+    checks = np.concatenate([_values(x.as_py(), "<u2") for x in table.column("checks")])
+    owners = [np.cumsum(_values(ids.as_py(), "<i8"), dtype=np.int64)[_values(at.as_py(), "<u4")]
               for ids, at in zip(table.column("ids"), table.column("owners"))]
     sizes = [len(h) for h in hashes]
     every, owner = np.concatenate(hashes), np.concatenate(owners)
@@ -139,8 +153,9 @@ def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     spot = np.searchsorted(shared, every[maybe])
     spot[spot == len(shared)] = 0
     hit = shared[spot] == every[maybe] if len(shared) else np.zeros(len(maybe), bool)
-    at, spot = maybe[hit], spot[hit]
-    least = np.full(len(shared), _LAST)
+    at = maybe[hit]
+    same, spot = np.unique(spot[hit] << 16 | checks[at], return_inverse=True)
+    least = np.full(len(same), _LAST)
     np.minimum.at(least, spot, owner[at])
     later = at[owner[at] > least[spot]]
     begins = np.concatenate([[0], np.cumsum(sizes)])
