@@ -88,7 +88,8 @@ def _rule_matches(rule: Rule) -> Column:
 def _findings(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Spans of (blob, text, todo). A match starts after all that stands before it and its predecessors."""
     hints = "|".join(f"(?:{r.hint})" for r in rules)
-    by_rule = (texts.where(F.col("text").rlike(hints))
+    # The condition needs ``todo``, so no text is looked at before the ledger has been asked.
+    by_rule = (texts.where(F.when(F.size("todo") > 0, F.col("text").rlike(hints)))
                .select("blob", F.explode(F.array_compact(F.array(*map(_rule_matches, rules)))).alias("r"))
                .select("blob", "r.rule", "r.kind", "r.least", F.posexplode("r.matches").alias("at", "m"))
                .where("m.size IS NOT NULL"))
