@@ -19,6 +19,8 @@ from cardweave.llm.text_stats import repeated_lines, repeated_words
 
 #: Labelled rows that the trees are fitted on at most; a documented bound.
 SAMPLE_ROWS = 20_000
+#: Share of the sample by which more rows are looked at than it takes.
+SAMPLE_SLACK = 1.25
 #: Remainder of crc32(id) mod FOLDS that is held out from fitting.
 FOLDS = 5
 #: Score from which a document is predicted to be good.
@@ -170,15 +172,21 @@ def fit_quality(measured: DataFrame, labels: DataFrame, *, label_id: str = "doc_
                 sample_rows: int = SAMPLE_ROWS, how: Boosting = Boosting()) -> Trees:
     """Fit on rows (doc_id, stats) with a label that are not held out.
 
-    At most ``sample_rows`` of them, those with the smallest hash of id and
-    statistics, go to the driver. Null labels are left out; an id with several labels counts
-    as good if at least half of them say so.
+    At most ``sample_rows`` of them go to the driver, those with the smallest
+    hash of id and statistics. Their number is counted first, and tasks send only
+    rows below the hash that so many rows should lie under, so what reaches the driver does
+    not grow with the tasks. Null labels are left out; an id with several labels
+    counts as good if at least half of them say so.
     """
     marks = (labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label).alias("mark"))
              .where("doc_id IS NOT NULL AND mark IS NOT NULL").groupBy("doc_id")
              .agg((F.avg("mark") >= 0.5).cast("int").alias("good")))
-    rows = (measured.where(~held_out()).join(marks, "doc_id")
-            .orderBy(F.xxhash64("doc_id", "stats")).limit(sample_rows).select("stats", "good").toPandas())
+    labelled = stored(measured.where(~held_out()).join(marks, "doc_id")
+                      .select(F.xxhash64("doc_id", "stats").alias("place"), "stats", "good"))
+    share = min(1.0, SAMPLE_SLACK * sample_rows / max(1, labelled.count()))
+    bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    rows = (labelled.where(F.col("place") <= bound).orderBy("place").limit(sample_rows)
+            .select("stats", "good").toPandas())
     matrix = np.array(rows["stats"].tolist(), np.float32).reshape(-1, len(STATISTICS))
     return fit_trees(matrix, rows["good"].to_numpy(float), how)
 
