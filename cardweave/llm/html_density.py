@@ -44,12 +44,18 @@ _ENDS = {
 _OUTSIDE = frozenset("nav footer aside form script style noscript template iframe object embed svg canvas select "
                      "button textarea title head dialog menu search".split())
 _OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-# Words of class and id names that mark such parts, whole or as a part between hyphens.
-_OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|"
-    r"breadcrumb|breadcrumbs|sidebar|aside|footer|masthead|cookie|cookies|consent|gdpr|notice|alert|popup|modal|newsletter|"
-    r"subscribe|signup|login|share|sharing|social|related|recommended|comment|comments|disqus|pagination|pager|"
-    r"toolbar|widget|skip-link)(?:$|[\s_-])", re.IGNORECASE)
+# Words that mark such parts in class and id names, and words that only say where or what kind of box they are.
+_OUTSIDE_WORDS = frozenset(
+    "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb "
+    "breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice alert popup modal newsletter "
+    "subscribe signup login share sharing social related recommended comment comments disqus pagination pager "
+    "toolbar widget skip".split())
+_BOX_WORDS = frozenset(
+    "site main top bottom left right primary secondary global header page bar box area list link links item items "
+    "container wrap wrapper block section inner outer button buttons icons posts form unit slot title".split())
+_COMMENTS = frozenset("comment comments disqus".split())
+# The kinds of elements that are cut.
+_FORM, _NAMED, _REMARKS, _CERTAIN = 1, 2, 3, 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)"
@@ -138,30 +144,83 @@ def parse(page: str) -> Node:
     return root
 
 
-def _outside(node: Node, in_article: bool) -> bool:
-    """Whether an element is never part of the article. An article has a header of its own."""
-    if node.tag in _OUTSIDE or node.tag == "header" and not in_article:
-        return True
+def _names(value: str) -> int:
+    """The kind that class or id names tell: a name counts if all its parts are known words."""
+    kind = 0
+    for name in value.split():
+        parts = {x for x in re.split("[-_]+", name) if x}
+        if parts & _OUTSIDE_WORDS and parts <= _OUTSIDE_WORDS | _BOX_WORDS and parts != {"skip"}:
+            kind = max(kind, _REMARKS if parts & _COMMENTS else _NAMED)
+    return kind
+
+
+def _kind(node: Node, in_article: bool) -> int:
+    """How an element shows that it is not part of the article, or 0. An article has a header of its own."""
+    if node.tag in _OUTSIDE and node.tag != "form" or node.tag == "header" and not in_article:
+        return _CERTAIN
+    kind = _FORM if node.tag == "form" else 0
     if not node.attributes.strip() or node.tag in ("body", "article", "main"):
-        return False
+        return kind
     for name, *values, alone in _ATTRIBUTE.findall(node.attributes):
         name, value = (name or alone).lower(), html.unescape("".join(values)).lower()
-        if name == "role" and _OUTSIDE_ROLES & set(value.split()) or name in ("class", "id") and _OUTSIDE_NAMES.search(value) \
-                or name == "hidden" or name == "aria-hidden" and value == "true" \
+        if name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return _CERTAIN
+        if name == "role" and _OUTSIDE_ROLES & set(value.split()):
+            kind = max(kind, _NAMED)
+        elif name in ("class", "id"):
+            kind = max(kind, _names(value))
+    return kind
 
 
 def _prune(root: Node) -> list[Node]:
-    """Cut off what is never part of the article; the elements left, parents first."""
-    order, todo = [], [(root, False)]
+    """Cut off what is never part of the article; the elements left, parents first.
+
+    Names, roles and forms are no reason to cut an element that holds a main or the
+    longest article, nor, where the page has neither, one with half of the body's
+    text outside links; its children are judged instead. For a form half of the text
+    is always enough. Comments are often longer than the article, so for them only
+    a main or an article counts, and they are not part of the body's text.
+    """
+    seen, todo = [], [(root, False)]
     while todo:
         node, inside = todo.pop()
+        kind = _kind(node, inside)
+        seen.append((node, kind))
+        if kind != _CERTAIN:
+            inside = inside or node.tag in ("article", "main")
+            todo += [(x, inside) for x in reversed(node.items) if not isinstance(x, str)]
+    # For each element: text outside links, the longest article inside, whether a main is inside.
+    plain: dict[int, int] = {}
+    longest: dict[int, int] = {}
+    mains: dict[int, bool] = {}
+    for node, kind in reversed(seen):
+        inner = [id(x) for x in node.items if not isinstance(x, str)] if kind != _CERTAIN else []
+        size = sum(plain[x] for x in inner)
+        if kind != _CERTAIN and node.tag != "a":
+            size += sum(len(x.strip()) for x in node.items if isinstance(x, str))
+        most = max((longest[x] for x in inner), default=0)
+        if node.tag == "article" and "comment" not in node.attributes.lower():
+            most = max(most, size)
+        mains[id(node)] = kind != _CERTAIN and (node.tag == "main" or any(mains[x] for x in inner))
+        longest[id(node)] = most
+        remark = kind == _REMARKS and not most and not mains[id(node)]
+        plain[id(node)] = 0 if kind == _CERTAIN or node.tag == "a" or remark else size
+    kinds = {id(node): kind for node, kind in seen}
+    total, article = plain[id(root)], longest[id(root)]
+    by_size = {_FORM} if article or mains[id(root)] else {_FORM, _NAMED}
+
+    def stays(node: Node) -> bool:
+        key = id(node)
+        return not kinds[key] or kinds[key] != _CERTAIN and (
+            mains[key] or 0 < article == longest[key] or kinds[key] in by_size and 2 * plain[key] >= max(1, total))
+
+    order, left = [], [root]
+    while left:
+        node = left.pop()
         order.append(node)
-        inside = inside or node.tag in ("article", "main")
-        node.items = [x for x in node.items if isinstance(x, str) or not _outside(x, inside)]
-        todo += [(x, inside) for x in reversed(node.items) if not isinstance(x, str)]
+        node.items = [x for x in node.items if isinstance(x, str) or stays(x)]
+        left += [x for x in reversed(node.items) if not isinstance(x, str)]
     return order
 
 

@@ -27,6 +27,35 @@ def test_article_is_found_whole(page):
     assert html_density.main_text(page) == "\n\n".join(PARAGRAPHS)
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class='layout has-sidebar'", "div class='no-sidebar single-post'",
+    "div class='comments-open post'", "form id='aspnetForm'", "div class='sidebar'", "div role=form class=page",
+])
+@pytest.mark.parametrize("inside", ["article", "main", "div"])
+def test_wrapper_is_not_cut_with_the_article(wrapper, inside):
+    page = (f"<body><{wrapper}><div class=site-nav><a href=/>Home</a></div><{inside}>{BODY}</{inside}>"
+            f"<form><input>Name</form><ul class='social-links'><li>Share</ul></{wrapper.split()[0]}>")
+    assert html_density.main_text(page) == "\n\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("part", [
+    "<div class=no-sidebar><p>An intro.</p></div>", "<section class='comments-open'><p>An intro.</p></section>"])
+def test_part_of_a_name_does_not_cut(part):
+    assert "An intro." in html_density.main_text(f"<article>{BODY}{part}</article>")
+
+
+def test_long_advert_beside_a_short_article_is_cut():
+    page = f"<body><div class=ad>{'Buy now. ' * 20}</div><article><p>Short.</p></article>"
+    assert html_density.main_text(page) == "Short."
+
+
+def test_comments_are_cut_however_long():
+    remark = f"<article class=comment-body><p>{'Nice post. ' * 90}</p></article>"
+    for post in ("article", "div"):
+        page = f"<body><{post}>{BODY}</{post}><div id=comments class=comment-list>{remark * 3}</div>"
+        assert html_density.main_text(page) == "\n\n".join(PARAGRAPHS)
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("<p>", ""), ("only text", "only text"), ("<script>x", ""), ("<p>a &lt;b&gt; &#99;", "a <b> c"),
     ("<p>a<br>b <b>c\n d</b></p>", "a b c d"), ("<ul><li>x<li>y</ul>", "x\n\ny"), ("a < b", "a < b"),
