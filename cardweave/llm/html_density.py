@@ -6,7 +6,8 @@ are cut off. Every element that is left has a density, its characters per tag
 adjusted for links, and a density sum, that of its children's densities. The
 element with the largest sum is the centre; the least density on the path from
 it up to the body is the threshold above which further elements are searched
-for their own centres.
+for their own centres. Where the centre lies in no article or main, all other
+blocks of the body stay as well, apart from those that are mostly links.
 """
 
 from __future__ import annotations
@@ -264,7 +265,52 @@ def _choose(order: list[Node], body: Node) -> set[int]:
         if node.density >= threshold:
             chosen.add(id(node.best.whole or node.best))
             todo += [x for x in node.items if not isinstance(x, str)]
-    return chosen
+    return chosen if centre.whole else _beside(order, body, chosen)
+
+
+def _poor(items: list[str | Node]) -> bool:
+    """Whether at most half of the text is links."""
+    chars = sum(len(x.strip()) if isinstance(x, str) else x.chars for x in items)
+    return 2 * sum(x.link_chars for x in items if not isinstance(x, str)) <= chars
+
+
+def _beside(order: list[Node], body: Node, chosen: set[int]) -> set[int]:
+    """Where the page names no article: all of the body but the links around what is chosen.
+
+    Blocks that are mostly links are searched for blocks that are not. Texts and
+    inline elements in a row are judged together, as one paragraph.
+    """
+    above, todo = set(), [(body, [])]
+    while todo:  # elements that hold a chosen one
+        node, path = todo.pop()
+        if id(node) in chosen:
+            while path and id(path[0]) not in above:
+                above.add(id(path[0]))
+                path = path[1]
+        else:
+            todo += [(x, [node, path]) for x in node.items if not isinstance(x, str)]
+    apart = chosen | above
+    for node in reversed(order):
+        if node.tag in _BLOCKS or any(not isinstance(x, str) and id(x) in apart for x in node.items):
+            apart.add(id(node))
+    search = [] if id(body) in chosen else [body]
+    while search:
+        node = search.pop()
+        kept, run = [], []
+        for x in [*node.items, None]:
+            alone = x is not None and not isinstance(x, str) and id(x) in apart
+            if x is not None and not alone:
+                run.append(x)
+                continue
+            if run and _poor(run):
+                kept += run
+            run = []
+            if x is not None:
+                kept.append(x)
+                if id(x) not in chosen and (id(x) in above or not _poor([x])):
+                    search.append(x)
+        node.items = kept
+    return {id(body)}
 
 
 def _blocks(body: Node, chosen: set[int]) -> list[str]:

@@ -44,6 +44,17 @@ def test_part_of_a_name_does_not_cut(part):
     assert "An intro." in html_density.main_text(f"<article>{BODY}{part}</article>")
 
 
+def test_page_without_article_keeps_all_its_parts():
+    long, short = [f"{k} " + "long text " * 20 for k in range(10)], [f"{k} " + "short text " * 7 for k in range(5)]
+    paragraphs = lambda texts: "".join(f"<p>{t}</p>" for t in texts)
+    links = "<ul>" + "".join(f"<li><a href={k}>Some other page {k}</a></li>" for k in range(8)) + "</ul>"
+    page = (f"<body><p>An intro.</p>And <a href=x>one linked</a> line in the body.{links}<div class=post>"
+            f"<div>{paragraphs(long)}</div><div>{paragraphs(short)}</div></div>"
+            f"<div>{links}<p>{short[0]}</p></div><span><a href=y>More</a></span>")
+    want = ["An intro.", "And one linked line in the body.", *long, *short, short[0]]
+    assert html_density.main_text(page) == "\n\n".join(t.strip() for t in want)
+
+
 def test_long_advert_beside_a_short_article_is_cut():
     page = f"<body><div class=ad>{'Buy now. ' * 20}</div><article><p>Short.</p></article>"
     assert html_density.main_text(page) == "Short."
