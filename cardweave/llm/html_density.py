@@ -58,10 +58,12 @@ _COMMENTS = frozenset("comment comments disqus".split())
 # The kinds of elements that are cut.
 _FORM, _NAMED, _REMARKS, _CERTAIN = 1, 2, 3, 4
 
+# Only a quote right after "=" opens a value; elsewhere it is an ordinary character.
+_VALUE = r"\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/>\"']+)")
+    rf"|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{_VALUE})?+)?+)*+)(?:>|\Z)", re.DOTALL)
+_ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({_VALUE})?+)?+")
 _BLANKS = re.compile(r"\s+")
 
 
@@ -162,8 +164,10 @@ def _kind(node: Node, in_article: bool) -> int:
     kind = _FORM if node.tag == "form" else 0
     if not node.attributes.strip() or node.tag in ("body", "article", "main"):
         return kind
-    for name, *values, alone in _ATTRIBUTE.findall(node.attributes):
-        name, value = (name or alone).lower(), html.unescape("".join(values)).lower()
+    for name, value in _ATTRIBUTE.findall(node.attributes):
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        name, value = name.lower(), html.unescape(value).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return _CERTAIN

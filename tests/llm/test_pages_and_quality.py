@@ -55,6 +55,18 @@ def test_page_without_article_keeps_all_its_parts():
     assert html_density.main_text(page) == "\n\n".join(t.strip() for t in want)
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<p class="a"">Hello world</p><p>more</p>', "Hello world\n\nmore"), ("<p title=don't>Hello</p><p>more</p>", "Hello\n\nmore"),
+    ("<p ' class=x>Hello</p><p>more</p>", "Hello\n\nmore"), ("<p title = '>' id=\">\">Hello</p>", "Hello"),
+    ("<p title=a\"b class=ad>Hello</p><p>more</p>", "more"), ('<p title="a"class="ad">x</p><p>more</p>', "more"),
+    ("<p title=>Hello</p><p>more</p>", "Hello\n\nmore"), ("<a/href='>'>x</a><p>more", "x\n\nmore"),
+    ('Hello<p title="never closed>more</p>', "Hello"), ("<p " + "a = " * 50_000, ""),
+])
+def test_quotes_in_tags(page, text):
+    body = f"<article>{page}"
+    assert html_density.main_text(body) == text
+
+
 def test_long_advert_beside_a_short_article_is_cut():
     page = f"<body><div class=ad>{'Buy now. ' * 20}</div><article><p>Short.</p></article>"
     assert html_density.main_text(page) == "Short."
