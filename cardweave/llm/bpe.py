@@ -48,11 +48,18 @@ def _spaced_words(text: str) -> list[str] | None:
 
 
 class TokenIds:
-    """Ids of texts under one tokenizer file."""
+    """Ids of texts under one tokenizer file.
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    ``names_are_text``: whether the name of a special token in a text is spelt
+    like other text; if not, it gives that token's id, as the library does unasked.
+    """
+
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS, names_are_text: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = names_are_text
+        # Texts with such a name are encoded whole.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.names = [t.content.strip() for t in added if not (names_are_text and t.special)]
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         before = spec["pre_tokenizer"] or {}
@@ -64,6 +71,8 @@ class TokenIds:
             self.split, self.spaced = _spaced_words, True
         elif parts == ["Split", "ByteLevel"] and spec["model"].get("end_of_word_suffix") == "</w>":
             self.split = _bare_words
+        if any(t.normalized for t in added):  # such a name may arise only by the normalizer
+            self.split = lambda text: None
         self.memo_words = memo_words
         self._clear()
 
@@ -129,7 +138,7 @@ class TokenIds:
         ends = np.zeros(len(texts) + 1, np.int64)
         led = np.zeros(len(texts), bool)  # has the id of an added line feed in front
         for k, text in enumerate(texts):
-            own = self.split(text) if text else []
+            own = None if any(n in text for n in self.names) else self.split(text) if text else []
             if own is None:
                 whole.append((len(words), text))
                 words.append("")
@@ -175,7 +184,7 @@ _LOADED: dict[str, TokenIds] = {}
 def token_ids(path: str) -> TokenIds:
     """The worker's encoder of a tokenizer file, read once."""
     if path not in _LOADED:
-        _LOADED[path] = TokenIds(path)
+        _LOADED[path] = TokenIds(path, names_are_text=False)
     return _LOADED[path]
 
 

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cardweave.llm import packing, token_files
-from cardweave.llm.bpe import TokenIds
+from cardweave.llm.bpe import TokenIds, token_ids
 from cardweave.llm.oracle import ORACLES
 from cardweave.llm.queries import QUERIES
 from cardweave.llm.store import shared_folder
@@ -35,6 +35,33 @@ def test_ids_are_those_of_the_library(path, memo):
             assert part.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
 
 
+NAMED = ["foo <|endoftext|> bar", "<|startoftext|>", "a<|endoftext|>b c", "<|ENDOFTEXT|> x", "x\n<|endoftext|>\ny", "plain text"]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_queries_give_ids_of_the_plain_call(path):
+    whole = Tokenizer.from_file(path)
+    texts = [t for _, t in ROWS] + ODD + NAMED
+    for _ in range(2):
+        ids, counts = token_ids(path).encode(texts)
+        for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            assert part.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_token_files_and_packing_of_texts_with_special_names(spark):
+    docs = spark.createDataFrame(list(enumerate(NAMED)), "doc_id long, text string")
+    plain = {path: Tokenizer.from_file(path) for path in (WORDS, BYTES)}
+    path = shared_folder(spark)
+    token_files.write_token_files(docs, path, WORDS, end_id=2)
+    start = 0
+    for row in sorted(token_files.read_documents(spark, path).collect(), key=lambda r: r.doc_id):
+        want = [*plain[WORDS].encode(NAMED[row.doc_id], add_special_tokens=False).ids, 2]
+        assert np.frombuffer(bytes(row.ids), "<u4").tolist() == want and row.start == start
+        start += len(want)
+    want = {k: np.array([*plain[BYTES].encode(t, add_special_tokens=False).ids, 0], "<u4") for k, t in enumerate(NAMED)}
+    assert check_packed(packing.pack_documents(docs, BYTES, end_id=0).collect(), want, packing.Limits()) == 0
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 31, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2 ** bits, 1000).astype(np.uint32)
