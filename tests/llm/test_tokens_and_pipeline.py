@@ -18,6 +18,7 @@ from tests.llm.conftest import ROWS
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = ["a  b", "\n\nx\n", "  lead", "trail ", "tab\there", "nb\xa0sp", "don't CAN'T 'S it's", "<|endoftext|> x", "é É",
+       "\x1cfoo bar\x1d", "a\n\nb  c\r\n\td ", "x-y's.z, é,ö.'t", "ÀÉ naïve straße", "x" * 40 + " y, " * 9,
        "\x1cfoo bar\x1d", "123 a1b2", "日本語 テスト", "ﬁ İstanbul ẞ", "\n", "a\n", "\na", " \n", "x y", "a\x00b", "\x7f"]
 
 
@@ -35,6 +36,17 @@ def test_ids_are_those_of_the_library(path, memo):
             assert part.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_a_text_longer_than_a_chunk_is_cut_between_words(monkeypatch):
+    monkeypatch.setattr("cardweave.llm.bpe.CHUNK_CHARS", 50)
+    for path in (WORDS, BYTES):
+        whole, encoder = Tokenizer.from_file(path), TokenIds(path, 20, names_are_text=False)
+        texts = ["one two, three\n" * 20, "", "a\n\n b " * 30, "z" * 200, *ODD]
+        for _ in range(2):
+            ids, counts = encoder.encode(texts)
+            for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+                assert part.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 NAMED = ["foo <|endoftext|> bar", "<|startoftext|>", "a<|endoftext|>b c", "<|ENDOFTEXT|> x", "x\n<|endoftext|>\ny", "plain text"]
 
 
@@ -74,7 +86,6 @@ def test_bits_round_trip(bits):
 
 def expected(path, end):
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     return [(i, np.array([*whole.encode(t or "", add_special_tokens=False).ids, end], "<u4")) for i, t in ROWS]
 
 
