@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardweave.llm import (
-    blob_ledger, boosted_quality, decontaminate, html_density, line_quality, lines, packing, simhash, substrings, token_files)
+    blob_ledger, boosted_quality, decontaminate, hard_negatives, html_density, line_quality, lines, packing,
+    projection_forest, simhash, substrings, token_files)
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -69,6 +70,16 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(docs, counts=("n_lines", "n_removed"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine_hard_negatives(vectors)
+
+
+def op13_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return projection_forest.nearest_neighbours(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_density": op1_html_density,
     "op2_line_first_quality": op2_line_first_quality,
@@ -80,4 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_packing": op8_vector_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_projection_forest": op13_projection_forest,
 }
