@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardweave.llm import (
-    blob_ledger, boosted_quality, decontaminate, hard_negatives, html_density, line_quality, lines, packing,
-    projection_forest, simhash, substrings, token_files)
+    blob_ledger, boosted_quality, collocations, decontaminate, hard_negatives, html_density, line_quality, lines,
+    packing, projection_forest, simhash, substrings, token_files)
 from cardweave.llm.oracle import ORACLES  # noqa: F401  (read by the entry module)
 from cardweave.llm.store import shared_folder
 
@@ -76,6 +76,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine_hard_negatives(vectors)
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine_collocations(_table(spark, folder, "documents"))
+
+
 def op13_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
     return projection_forest.nearest_neighbours(_table(spark, folder, "embeddings"))
 
@@ -92,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
     "op13_projection_forest": op13_projection_forest,
 }
