@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import bisect
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,9 +23,8 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cardweave.llm.automata import Builder, CountTransducer
+from cardweave.llm.automata import Builder, CountTransducer, Phrase
 from cardweave.llm.store import shipped, stored, text_bytes
-from cardweave.llm.windows import _planes, _values
 
 LONGEST = 4
 LEAST = 30
@@ -32,7 +32,7 @@ LEAST = 30
 HELD = 80
 TOP = 2000
 #: Bytes of the texts of a shard; characters from which a text is first cut at its piece ends.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 LONG_TEXT = 1 << 20
 #: Cells that a bucket sums, on average, and cells for each sequence of the input.
 BUCKET_CELLS = 1 << 22
@@ -117,6 +117,30 @@ def _cuts(cells: np.ndarray, bits: int, bucket_bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(cells, edges), [len(cells)]])
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in the fewest of 1, 2, 4 or 8 bytes, which the first byte tells."""
+    size = next(w for w in (1, 2, 4, 8) if w == 8 or int(values.max(initial=0)) < 1 << 8 * w)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+def _ranked(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values below ``2 ** bits`` in order; by value its place among them."""
+    room = len(values).bit_length()
+    if bits + room > 64:
+        return np.unique(values, return_inverse=True)
+    keys = np.sort(values << np.uint64(room) | np.arange(len(values), dtype=np.uint64))
+    at = (keys & np.uint64((1 << room) - 1)).astype(np.int64)
+    keys >>= np.uint64(room)
+    new = np.diff(keys, prepend=~keys[:1]) != 0
+    which = np.empty(len(values), np.int64)
+    which[at] = np.cumsum(new) - 1
+    return keys[new], which
+
+
 def _send(bits: int, bucket_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Cells of each shard with their counts, by bucket."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,23 +153,20 @@ def _send(bits: int, bucket_bits: int) -> Callable[[Iterator[pa.RecordBatch]], I
                 own = [slice(cuts[b], cuts[b + 1]) for b in full]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(full, pa.int32()), pa.array([number.as_py()] * len(full), pa.int64()),
-                    pa.array([_planes(np.diff(cells[s], prepend=np.uint64(0))) for s in own], pa.binary()),
-                    pa.array([_planes(counts[s].astype("<u4")) for s in own], pa.binary())],
+                    pa.array([_packed(np.diff(cells[s], prepend=np.uint64(b) << np.uint64(bits - bucket_bits)))
+                              for b, s in zip(full, own)], pa.binary()),
+                    pa.array([_packed(counts[s]) for s in own], pa.binary())],
                     names=["bucket", "shard", "cells", "counts"])
     return send
 
 
-def _answer(least: int) -> Callable[[pa.Table], pa.Table]:
-    """Which cells of each shard reach the least count over all shards, one bit a cell."""
+def _answer(least: int, bits: int) -> Callable[[pa.Table], pa.Table]:
+    """Which cells of each shard reach the least count over all shards, one bit a cell; ``bits`` within a bucket."""
     def answer(table: pa.Table) -> pa.Table:
-        parts = [np.cumsum(_values(x.as_py(), "<u8"), dtype=np.uint64) for x in table.column("cells")]
-        counts = np.concatenate([_values(x.as_py(), "<u4") for x in table.column("counts")]).astype(np.int64)
-        every = np.concatenate(parts)
-        order = np.argsort(every, kind="stable")
-        ascending = every[order]
-        first = np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]]))
-        enough = np.zeros(len(every), bool)
-        enough[order] = np.repeat(np.add.reduceat(counts[order], first) >= least, np.diff(first, append=len(every)))
+        parts = [np.cumsum(_unpacked(x.as_py()), dtype=np.uint64) for x in table.column("cells")]
+        counts = np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")])
+        _, which = _ranked(np.concatenate(parts), bits)
+        enough = (np.bincount(which, counts) >= least)[which]  # sums of doubles are exact here
         bounds = np.cumsum([0, *map(len, parts)]).tolist()
         return pa.table({
             "shard": table.column("shard"), "bucket": table.column("bucket"),
@@ -167,7 +188,8 @@ def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
         lang = shard.column("lang")[0].as_py()
         names, word, piece = _words(shard.column("text")[0].as_py())
         found = _cells(lang, names, word, piece, bits)
-        cells = np.unique(np.concatenate([c for _, c in found]))
+        cells, which = _ranked(np.concatenate([c for _, c in found]), bits)
+        which = np.split(which, np.cumsum([len(at) for at, _ in found])[:-1])
         cuts, enough = _cuts(cells, bits, bucket_bits), np.zeros(len(cells), bool)
         for bucket, own in zip(answers.column("bucket").to_pylist(), answers.column("enough").to_pylist()):
             n = cuts[bucket + 1] - cuts[bucket]
@@ -175,18 +197,21 @@ def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
         # The words of the shard as a phrase without words: how many there are in all.
         out = [pa.table({"lang": pa.array([lang], pa.string()), "words": pa.array([[]], pa.list_(pa.string())),
                          "f": pa.array([len(word)], pa.int64())})]
-        before, number, parts = None, np.zeros(0, np.int64), []
-        for length, (at, own) in enumerate(found, 1):
-            at = at[enough[np.searchsorted(cells, own)]]
+        before, number = None, np.zeros(0, np.int64)
+        small = len(word) < 1 << 21  # then a number, a word and a place fit 64 bits
+        for length, (at, own) in enumerate(zip([at for at, _ in found], which), 1):
+            at = at[enough[own]]
             if before is not None:  # both sequences of one word less reach the count as well
                 at = at[before[at] & before[at + 1]]
-                key = number[at] << 32 | word[at + length - 1]
+                key = number[at] << 22 | word[at + length - 1] if small else number[at] << 32 | word[at + length - 1]
             else:
                 key = word[at]
-            distinct, first, which, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            out.append(_phrases(names, lang, [word[at[first] + k] for k in range(length)], counts))
+            distinct, same = _ranked(key.astype(np.uint64), 43 if small else 64)
+            first = np.zeros(len(distinct), np.int64)
+            first[same] = at
+            out.append(_phrases(names, lang, [word[first + k] for k in range(length)], np.bincount(same, minlength=len(distinct))))
             before, number = np.zeros(len(word) + 1, bool), np.zeros(len(word) + 1, np.int64)
-            before[at], number[at] = True, which
+            before[at], number[at] = True, same
         return pa.concat_tables(out)
     return exact
 
@@ -211,33 +236,59 @@ def _unite(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
         def flushed() -> Iterator[pa.RecordBatch]:
             if len(builder):
-                yield _automaton(now[0], first, builder.done())
+                yield _automaton(now, first, builder.done())
 
-        def finished(own: tuple[str, list[str]], f: int) -> Iterator[pa.RecordBatch]:
+        def finished(lang: str, words: list[str], f: int) -> Iterator[pa.RecordBatch]:
             nonlocal builder, first, now
-            if own[1] and f < least:
-                return
-            if now is None or now[0] != own[0] or len(builder) >= AUTOMATON_PHRASES:
+            if now is None or now != lang or len(builder) >= AUTOMATON_PHRASES:
                 yield from flushed()
-                builder, first = Builder(), own[1]
-            now = own
-            builder.add(tuple(own[1]), f)
-        last, total = None, 0
+                builder, first, now = Builder(), words, lang
+            builder.add(tuple(words), f)
+        last = None  # (key, language, words, count so far) of the sequence under way
         for batch in batches:
-            for own in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if last is not None and own[:2] == last:
-                    total += own[2]
-                    continue
-                if last is not None:
-                    yield from finished(last, total)
-                last, total = own[:2], own[2]
-        if last is not None:
-            yield from finished(last, total)
+            keys = pc.binary_join_element_wise(batch.column(0), pc.binary_join(batch.column(1), " "), "\t")
+            new = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            sums = np.add.reduceat(batch.column(2).to_numpy(), starts)
+            if last is not None and last[0] == keys[0].as_py():
+                sums[0] += last[3]
+            elif last is not None and (last[3] >= least or not last[2]):
+                yield from finished(*last[1:])
+            langs, words = batch.column(0), batch.column(1)
+            empty = pc.list_value_length(words).to_numpy(zero_copy_only=False)[starts] == 0
+            own = starts[:-1][(sums[:-1] >= least) | empty[:-1]]
+            kept = sums[:-1][(sums[:-1] >= least) | empty[:-1]]
+            at = pa.array(own)
+            for row in zip(langs.take(at).to_pylist(), words.take(at).to_pylist(), kept.tolist()):
+                yield from finished(*row)
+            end = int(starts[-1])
+            last = keys[end].as_py(), langs[end].as_py(), words[end].as_py(), int(sums[-1])
+        if last is not None and (last[3] >= least or not last[2]):
+            yield from finished(*last[1:])
         yield from flushed()
     return unite
 
 
-def _requests(firsts: list[tuple[str, list[str]]], shares: list[int] | None
+def _parts(row: dict, firsts: list[tuple[str, list[str]]]) -> Iterator[tuple[Phrase, int, list[tuple[int, int, int]]]]:
+    """Candidates of an automaton, each with (automaton, cut, side) of its parts."""
+    for words, a in _loaded(row).phrases():
+        if len(words) > 1:
+            yield words, a, [(bisect.bisect_right(firsts, (row["lang"], list(part))) - 1, k, side)
+                             for k in range(1, len(words)) for side, part in enumerate((words[:k], words[k:]))]
+
+
+def _asked(firsts: list[tuple[str, list[str]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """How many parts belong to each automaton."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                numbers = Counter(target for _, _, parts in _parts(row, firsts) for target, _, _ in parts)
+                yield pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int32()), pa.array(list(numbers.values()), pa.int64())],
+                                                 names=["target", "n"])
+    return count
+
+
+def _requests(firsts: list[tuple[str, list[str]]], shares: list[int]
               ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Parts of all candidates, with the automaton that each part belongs to."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,12 +300,9 @@ def _requests(firsts: list[tuple[str, list[str]]], shares: list[int] | None
             return pa.RecordBatch.from_arrays(columns, names=["target", "share", "lang", "words", "a", "k", "side"])
         for batch in batches:
             for row in batch.to_pylist():
-                for words, a in _loaded(row).phrases():
-                    for k in range(1, len(words)):
-                        for side, part in enumerate((words[:k], words[k:])):
-                            target = bisect.bisect_right(firsts, (row["lang"], list(part))) - 1
-                            share = xxhash.xxh3_64_intdigest(" ".join(words)) % shares[target] if shares else 0
-                            rows.append((target, share, row["lang"], words, a, k, side))
+                for words, a, parts in _parts(row, firsts):
+                    spread = xxhash.xxh3_64_intdigest(" ".join(words))
+                    rows += [(target, spread % shares[target], row["lang"], words, a, k, side) for target, k, side in parts]
                     if len(rows) >= 10_000:
                         yield out()
                         rows = []
@@ -291,7 +339,7 @@ def phrase_automata(docs: DataFrame, *, lang: str = "lang", text: str = "text",
     cut = F.when(F.length("text") < LONG_TEXT, F.array("text")).otherwise(F.split("text", r"[.,;:!?\n\x0B\f\r]"))
     shards = stored(shipped(kept.select("lang", F.explode(cut).alias("text"))).mapInArrow(_pack, _SHARD))
     sent = shards.mapInArrow(_send(bits, bucket_bits), "bucket int, shard long, cells binary, counts binary")
-    answers = sent.groupBy("bucket").applyInArrow(_answer(least), "shard long, bucket int, enough binary")
+    answers = sent.groupBy("bucket").applyInArrow(_answer(least, bits - bucket_bits), "shard long, bucket int, enough binary")
     counts = stored(shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_exact(bits, bucket_bits), _COUNTS))
     ranges = max(1, -(-counts.count() // RANGE_ROWS))
     ordered = counts.repartitionByRange(ranges, "lang", "words").sortWithinPartitions("lang", "words")
@@ -312,10 +360,10 @@ def _composed(automata: DataFrame) -> DataFrame:
     # One row an automaton of 65,536 phrases: a list of where each begins.
     firsts = sorted((r["lang"], list(r["first"])) for r in automata.select("lang", "first").toLocalIterator())
     place = {(lang, tuple(first)): n for n, (lang, first) in enumerate(firsts)}
-    counted = automata.mapInArrow(_requests(firsts, None), _REQUEST).groupBy("target").count().collect()
+    counted = automata.mapInArrow(_asked(firsts), "target int, n long").groupBy("target").agg(F.sum("n").alias("n"))
     shares = [1] * len(firsts)
-    for row in counted:
-        shares[row["target"]] = -(-row["count"] // REQUESTS)
+    for row in counted.toLocalIterator():
+        shares[row["target"]] = -(-row["n"] // REQUESTS)
 
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
