@@ -35,11 +35,11 @@ TOP = 2000
 SHARD_BYTES = 3 << 20
 LONG_TEXT = 1 << 20
 #: Cells that a bucket sums, on average, and cells for each sequence of the input.
-BUCKET_CELLS = 1 << 22
+BUCKET_CELLS = 1 << 21
 CELL_BITS = 4
 #: Phrases of an automaton, rows of counts that a task unites, and requests that a task composes.
 AUTOMATON_PHRASES = 1 << 16
-RANGE_ROWS = 1 << 20
+RANGE_ROWS = 1 << 19
 REQUESTS = 1 << 17
 
 # What ends a piece, and what parts words.
@@ -118,13 +118,21 @@ def _cuts(cells: np.ndarray, bits: int, bucket_bits: int) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers in the fewest of 1, 2, 4 or 8 bytes, which the first byte tells."""
-    size = next(w for w in (1, 2, 4, 8) if w == 8 or int(values.max(initial=0)) < 1 << 8 * w)
-    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+    """Whole numbers in the fewest bytes, which the first byte tells: first bytes of all, then second bytes, and so on.
+
+    The last bytes are nearly all zero and vanish when Spark compresses what it shuffles.
+    """
+    size = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+    return bytes([size]) + np.ascontiguousarray(planes.T).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+    size = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(size, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :size] = planes.T
+    return out.reshape(-1).view("<u8")
 
 
 def _ranked(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +220,9 @@ def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             out.append(_phrases(names, lang, [word[first + k] for k in range(length)], np.bincount(same, minlength=len(distinct))))
             before, number = np.zeros(len(word) + 1, bool), np.zeros(len(word) + 1, np.int64)
             before[at], number[at] = True, same
-        return pa.concat_tables(out)
+        found = pa.concat_tables(out).combine_chunks()
+        # In order, so that neighbours share their beginnings.
+        return found.take(pc.sort_indices(pc.binary_join(found.column("words"), " ")))
     return exact
 
 
