@@ -1,8 +1,9 @@
 """Structured Streaming driver: every micro-batch runs the batch flow.
 
-State lives in the stored tables, and a micro-batch reads only what earlier
-batches wrote. It owns one folder per table, so a batch that is run again after
-a failure reads the same state and replaces its own output.
+State lives in the stored tables, which a micro-batch reads by its own keys and only as
+the batches before left them. It owns one folder per table, so a batch that is run
+again after a failure reads the same state and replaces its own output, and all of
+its tables become visible at once when its snapshot is written.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cardweave.operators.matching import MATCH_KEYS
 from cardweave.plans.flow import Outcome, Stored, run_batch
 from cardweave.schemas import (
     JOB_MESSAGE_TYPE, SPENDING_TOTALS, STORED_HISTORY, STORED_INDEX, TRANSACTION_INFO, TYPE_RANK)
 from cardweave.session import materialize
 from cardweave.sources import envelope, sinks
-from cardweave.sources.readers import read_table
+from cardweave.sources.runs import KeyedTable, Snapshot, Store
 from cardweave.sources.topics import EVENT_NAME, RESULT_TOPIC, error_topic, request_topic, response_topic
 
 # sends topic records: name of the output, rows, batch number
@@ -44,6 +46,8 @@ class Job:
     linked_accounts: DataFrame
     nodes: DataFrame
     processed_at: Column | None = field(default=None)
+    buckets: int = 64       # of a stored table, and runs of a level before they are merged
+    fanout: int = 8
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -65,35 +69,63 @@ def to_requests(decoded: DataFrame) -> DataFrame:
     }).drop("topic", "transaction_id")
 
 
-def stored_before(spark: SparkSession, job: Job, batch_id: int) -> Stored:
-    """Tables as earlier batches left them."""
-    def earlier(name: str, schema) -> DataFrame:
-        return read_table(spark, job.path(name), schema).where(F.col("batch_id") < batch_id)
+def newest_totals(rows: DataFrame) -> DataFrame:
+    """One row per card and group, that of the last batch."""
+    others = [f.name for f in SPENDING_TOTALS if f.name not in ("debit_card_id", "total_type")]
+    newest = F.max_by(F.struct(*others, "batch_id"), "batch_id")
+    return rows.groupBy("debit_card_id", "total_type").agg(newest.alias("t")).select(
+        "debit_card_id", "total_type", *[f"t.{c}" for c in others], "t.batch_id")
 
+
+def store_of(spark: SparkSession, job: Job) -> Store:
+    """History by transaction, index by match key and totals by card, below the job's folder."""
+    shape = {"buckets": job.buckets, "fanout": job.fanout}
+    return Store(spark, job.root, [
+        KeyedTable("history", STORED_HISTORY, ("transaction_id",), **shape),
+        KeyedTable("index", STORED_INDEX, tuple(MATCH_KEYS), **shape),
+        KeyedTable("totals", SPENDING_TOTALS, ("debit_card_id",), newest=newest_totals, **shape)])
+
+
+def stored_before(store: Store, snapshot: Snapshot, job: Job) -> Stored:
+    """Tables as the batches of a snapshot left them; they are read by key."""
     return Stored(
-        history=earlier("history", STORED_HISTORY).drop("batch_id"),
-        index=earlier("index", STORED_INDEX).drop("batch_id"),
-        totals=sinks.current_totals(earlier("totals", SPENDING_TOTALS)),
-        settings=job.settings, balances=job.balances, linked_accounts=job.linked_accounts,
-        nodes=job.nodes)
+        history=store.asked(snapshot, "history"), index=store.asked(snapshot, "index"),
+        totals=store.asked(snapshot, "totals"), settings=job.settings, balances=job.balances,
+        linked_accounts=job.linked_accounts, nodes=job.nodes)
+
+
+def published(spark: SparkSession, job: Job, name: str) -> DataFrame:
+    """Topic records in the job's folder of all batches that are whole."""
+    batch = store_of(spark, job).snapshot().batch
+    return spark.read.schema("key string, value string, headers array<struct<key:string,value:binary>>, "
+                             "batch_id long, topic string").json(job.path(name)).where(F.col("batch_id") <= batch)
 
 
 def process_batch(records: DataFrame, batch_id: int, job: Job,
-                  publish: Publish | None = None) -> Outcome:
+                  publish: Publish | None = None) -> Outcome | None:
     """Decode, process and store one micro-batch of request events.
 
     ``publish(name, records, batch_id)`` sends the events, commands and errors as
-    topic records; without it they go to folders of the job.
+    topic records; without it they go to folders of the job. The snapshot comes
+    last: a batch that breaks off leaves nothing that counts and is done again
+    from the same state. A batch that is whole already is left alone (None).
     """
     publish = publish or (lambda name, rows, n: sinks.publish(rows, job.path(name), n))
     spark = records.sparkSession
+    store = store_of(spark, job)
+    snapshot = store.snapshot()
+    if batch_id <= snapshot.batch:
+        return None
     decoded, broken = envelope.split_errors(envelope.decode(materialize(records), TRANSACTION_INFO))
-    outcome = run_batch(to_requests(decoded), stored_before(spark, job, batch_id), job.processed_at)
+    outcome = run_batch(to_requests(decoded), stored_before(store, snapshot, job), job.processed_at)
+
+    def columns(rows: DataFrame, schema) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
-    sinks.save_processed(
-        outcome.history, outcome.index.where(F.col("error").isNull()).drop("error"),
-        job.path("history"), job.path("index"), batch_id)
-    sinks.save_totals(outcome.totals, job.path("totals"), batch_id)
+    whole = store.add(snapshot, batch_id, {
+        "history": columns(outcome.history, STORED_HISTORY),
+        "index": columns(outcome.index.where(F.col("error").isNull()), STORED_INDEX),
+        "totals": columns(outcome.totals, SPENDING_TOTALS)})
     publish("events", _events(outcome), batch_id)
     commands = outcome.accounting.commands.unionByName(outcome.earmarking.commands)
     publish("commands", envelope.to_commands(commands), batch_id)
@@ -105,6 +137,10 @@ def process_batch(records: DataFrame, batch_id: int, job: Job,
         envelope.format_error(broken, keep=[F.replace(
             "topic", F.lit(".request"), F.lit(".error")).alias("topic")]))
     publish("errors", errors.withColumnRenamed("message", "value"), batch_id)
+    store.commit(whole)
+    merged = store.compact(whole)
+    if merged != whole:
+        store.commit(merged)
     return outcome
 
 
