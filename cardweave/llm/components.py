@@ -7,23 +7,40 @@ from pyspark.sql import DataFrame, functions as F
 from cardweave.llm.store import stored
 
 
-def _least(edges: DataFrame, node: str, other: str) -> DataFrame:
-    return edges.groupBy(node).agg(F.min(other).alias("least"))
+#: Rows of one node's links that one task takes, at the least; parts into which more are dealt.
+HOT_LINKS, PARTS = 256, 64
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, links: int) -> DataFrame:
+    """(high, low, least): every edge with the least ``low`` of its ``high``.
+
+    A node with more than ``HOT_LINKS`` and a thousandth of all links is dealt over
+    ``PARTS`` tasks, to each of which its least neighbour goes; at most two thousand
+    nodes have so many, so their list is small enough to be broadcast.
+    """
+    limit = max(HOT_LINKS, links // 1_000)
+    found = edges.groupBy("high").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(found.where(F.col("n") > limit).select("high", F.lit(True).alias("hot")))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("low"), F.lit(PARTS))).otherwise(0).cast("int")
+    last = F.when(F.col("n") > limit, PARTS - 1).otherwise(0)
+    copies = found.select("high", "least", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    return (edges.join(hot, "high", "left").withColumn("part", part).join(copies, ["high", "part"])
+            .select("high", "low", "least"))
+
+
+def _large_star(edges: DataFrame, links: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour."""
     both = edges.unionByName(edges.select(F.col("low").alias("high"), F.col("high").alias("low")))
-    least = _least(both, "high", "low").select("high", F.least("high", "least").alias("least"))
-    return (both.join(least, "high").where("low > high")
-            .select(F.col("low").alias("high"), F.col("least").alias("low")))
+    return (_with_least(both, 2 * links).where("low > high")
+            .select(F.col("low").alias("high"), F.least("high", "least").alias("low")))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, links: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of these."""
-    least = _least(edges, "high", "low")
-    return (edges.join(least, "high").select(F.col("low").alias("high"), F.col("least").alias("low"))
-            .where("high <> low").unionByName(least.withColumnRenamed("least", "low")).distinct())
+    rows = _with_least(edges, links)
+    own = edges.groupBy("high").agg(F.min("low").alias("low"))
+    return (rows.select(F.col("low").alias("high"), F.col("least").alias("low"))
+            .where("high <> low").unionByName(own).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -42,4 +59,4 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("high").alias("node"), F.col("low").alias("root")).unionByName(
                 now.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct())
         seen = state
-        now = stored(_small_star(_large_star(now)))
+        now = stored(_small_star(_large_star(now, state[0]), state[0]))

@@ -184,20 +184,31 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     prints = stored(fingerprints(docs, doc_id=doc_id, text=text))
     # One row a distinct fingerprint from here on, however many copies there are.
     members = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("least")))
-    roots = components(ball_links(members.select("bits"))).withColumnRenamed("node", "bits")
-    rooted = stored(members.join(roots, "bits", "left").select(
-        "bits", "least", F.coalesce("root", "bits").alias("root")))
+    rooted = _rooted(members)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("bits", "component_id")
     return prints.join(named, "bits").select(
         "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _rooted(members: DataFrame) -> DataFrame:
+    """``members``, one row a fingerprint, with ``root``, a fingerprint that stands for its component."""
+    roots = components(ball_links(members.select("bits"))).withColumnRenamed("node", "bits")
+    return stored(members.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits")))
+
+
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, with all columns, of one document of each component: that of the smallest id.
+    """One row of ``docs``, with all columns, of each component: that of the smallest id.
 
-    Rows with a null id stay, as do all rows that share a smallest id.
+    Of rows that share the smallest id one stays, that whose text has the smallest
+    hash. A row with a null id stays only where all ids of its component are null.
     """
-    found = near_duplicates(docs, doc_id=doc_id, text=text)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
+    rows = stored(docs.withColumn("__one_row", F.monotonically_increasing_id()))
+    keyed = rows.select(F.col(text).alias("text"), F.struct(
+        F.col(doc_id).isNull().alias("none"), F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("hash"),
+        F.col("__one_row").alias("row")).alias("first"))
+    kind = "first struct<none:boolean,id:long,hash:long,row:long>, bits long"
+    prints = stored(shipped(keyed).mapInArrow(_fingerprints, kind))
+    members = stored(prints.groupBy("bits").agg(F.min("first").alias("first")))
+    kept = _rooted(members).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first.row").alias("__one_row")), "__one_row", "left_semi").select(*docs.columns)

@@ -42,8 +42,27 @@ def test_near_duplicates(tricky, none):
     assert simhash.near_duplicates(none).count() == 0
     kept = simhash.one_of_each(tricky)
     assert kept.columns == tricky.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(
-        i for i, _, least in want if i is not None and i == least)
+    firsts = [rows[r] for r in sorted(set(slow_components(prints)))]
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _ in firsts]
+    assert simhash.one_of_each(none).count() == 0
+
+
+def test_one_row_of_each_group_whatever_its_id(spark):
+    a, b, c = (" ".join(f"{name}{k}" for k in range(60)) for name in "abc")
+    docs = spark.createDataFrame([(3, a), (10, a), (10, b), (10, b), (11, b), (None, b), (None, c), (None, c)],
+                                 "doc_id long, text string")
+    kept = simhash.one_of_each(docs.repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("3", a), ("10", b), ("None", c)])
+
+
+def test_a_star_with_many_links_is_dealt_over_parts(spark):
+    links = [(0, k) for k in range(1, 1500)] + [(5000, 5001)]
+    df = spark.createDataFrame(links, "low long, high long")
+    both = df.unionByName(df.select(F.col("high").alias("low"), F.col("low").alias("high")))
+    got = {(r.high, r.low): r.least for r in components._with_least(both, both.count()).collect()}
+    assert got == {**{(k, 0): 0 for k in range(1, 1500)}, **{(0, k): 1 for k in range(1, 1500)}, (5001, 5000): 5000, (5000, 5001): 5001}
+    plan = components._with_least(both, both.count())._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan
 
 
 @pytest.mark.parametrize("spread", [6, 40])
