@@ -1,7 +1,9 @@
 """Line-first quality rules.
 
-Every line with a word is judged on its own by punctuation, navigation and
-boilerplate rules. Lines that fail are removed, and a document that loses too
+Every line with a word is judged by punctuation, navigation and boilerplate rules,
+in any script: marks are those of Unicode, and where words are not parted by blanks
+they are told by the number of letters. A short line without a mark may be a heading
+and counts as navigation only among others. Lines that fail are removed, and a document that loses too
 much of its text that way is rejected, as is one that fails the base rules.
 """
 
@@ -12,6 +14,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from cardweave.llm.store import shipped, slices
@@ -31,44 +34,81 @@ class LineRules:
     marks_percent: int = 15
     unpunctuated_words: int = 40
     #: Navigation: separators in a line, and words to each of them at most; and words
-    #: of an entry without any punctuation.
+    #: of an entry without any punctuation, and entries in a row that make a menu.
     separators: int = 3
     words_to_separator: int = 5
     entry_words: int = 3
+    entries: int = 3
     #: Percentage of a document's characters whose loss rejects it.
     lost_percent: int = 50
 
 
 _MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 _SEPARATORS = re.compile(r"[|»›•·]|(?<=\s)>(?=\s)")
-_SENTENCE = re.compile(r"[.!?:;…。！？]")
+_MARK = regex.compile(r"\p{P}|[|<>$+=^`~]")
+# Letters of scripts without blanks between words, by the letters that usually make a word.
+_UNPARTED = [(regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]"), 2),
+             (regex.compile(r"[\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"), 4)]
+_NO_SENTENCE_MARKS = regex.compile(r"[\p{Thai}\p{Lao}]")
+_SENTENCE = re.compile(r"[.!?:;…。！？：；．।॥؟؛۔։።፧។៕။‽]")
 # Phrases of lines that belong to a site or a file, not to its text.
 _BOILERPLATE = re.compile(
     r"\b(?:all rights reserved|copyright (?:\(c\)|©|\d{4})|licensed under|terms of (?:use|service)|privacy policy"
     r"|cookies? (?:policy|settings)|(?:uses?|accept(?: all)?) cookies|(?:enable|requires?) javascript"
-    r"|subscribe to our|sign up for|click here|read more|share (?:this|on)|follow us|lorem ipsum)\b|^©",
+    r"|subscribe to our|sign up for|click here|read more|share (?:this|on)|follow us|lorem ipsum"
+    r"|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|hier klicken|mehr lesen|folgen sie uns"
+    r"|tous droits réservés|politique de confidentialité|mentions légales|cliquez ici|lire la suite|suivez-nous"
+    r"|todos los derechos reservados|política de privacidad|aviso legal|haga clic aquí|leer más|síguenos)\b|^©"
+    r"|無断転載|利用規約|プライバシーポリシー|版权所有|隐私政策|使用条款|보유\. 무단|개인정보처리방침",
     re.IGNORECASE)
 _NAVIGATION = re.compile(
-    r"^(?:home|menu|next|previous|back to top|skip to content|log ?in|sign ?in|register|search|contact|about us)\W*$",
+    r"^(?:home|menu|next|previous|back to top|skip to content|log ?in|sign ?in|register|search|contact|about us"
+    r"|startseite|kontakt|anmelden|suche|accueil|connexion|recherche|inicio|contacto|buscar)\W*$",
     re.IGNORECASE)
 
+ENTRY = "entry"
+
 
 def line_fails(line: str, rules: LineRules) -> str | None:
-    """The kind of rule that a line with a word fails, or None."""
+    """The kind of rule that a line with a word fails, or None; ``ENTRY`` where that hangs on its neighbours."""
     data = line.encode("utf-8", "surrogatepass")
-    solid = len(data.translate(None, SPACE))
-    marks = len(data) - len(data.translate(None, _MARKS))
     words = len(data.split())
+    spoken = True
+    if len(data) == len(line):
+        solid = len(data.translate(None, SPACE))
+        marks = len(data) - len(data.translate(None, _MARKS))
+    else:
+        solid = len(line) - sum(map(line.count, " \t\v\f\r"))
+        marks = len(_MARK.findall(line))
+        if not line.isascii() and max(line) > "\u0dff":  # none of these scripts lies before
+            for letters, size in _UNPARTED:
+                words += max(0, -(-len(letters.findall(line)) // size) - 1)
+            spoken = 2 * len(_NO_SENTENCE_MARKS.findall(line)) < solid
     separators = len(_SEPARATORS.findall(line))
-    if separators >= rules.separators and words <= separators * rules.words_to_separator \
-            or words <= rules.entry_words and not marks or _NAVIGATION.search(line.strip()):
+    if separators >= rules.separators and words <= separators * rules.words_to_separator or _NAVIGATION.search(line.strip()):
         return "navigation"
     if marks >= rules.marks and 100 * marks > rules.marks_percent * solid \
-            or words >= rules.unpunctuated_words and not _SENTENCE.search(line):
+            or spoken and words >= rules.unpunctuated_words and not _SENTENCE.search(line):
         return "punctuation"
     if _BOILERPLATE.search(line):
         return "boilerplate"
-    return None
+    return ENTRY if words <= rules.entry_words and not marks else None
+
+
+def failing_lines(lines: list[str], rules: LineRules) -> list[bool]:
+    """Which lines fail. An entry does in a row of ``rules.entries`` lines that are entries or navigation."""
+    kinds = [line_fails(line, rules) if line.strip(" \t\v\f\r") else "" for line in lines]
+    fails = [kind not in ("", ENTRY, None) for kind in kinds]
+    run: list[int] = []
+    for k, kind in enumerate([*kinds, None]):
+        if kind in (ENTRY, "navigation"):
+            run.append(k)
+        elif kind != "":  # blank lines do not end a menu
+            if len(run) >= rules.entries:
+                for at in run:
+                    fails[at] = True
+            run = []
+    return fails
 
 
 def judge(text: str | None, rules: LineRules) -> dict:
@@ -80,12 +120,10 @@ def judge(text: str | None, rules: LineRules) -> dict:
     word_chars = len(whole) - (len(data) - len(data.translate(None, SPACE)))
     failed = len(words) < rules.words or 100 * repeated > rules.repeated_percent * len(words)
     kept, lost, n_lines, n_failed = [], 0, 0, 0
-    for line in whole.split("\n"):
-        if not line.strip(" \t\v\f\r"):
-            kept.append(line)
-            continue
-        n_lines += 1
-        if line_fails(line, rules):
+    lines = whole.split("\n")
+    for line, fails in zip(lines, failing_lines(lines, rules)):
+        n_lines += bool(line.strip(" \t\v\f\r"))
+        if fails:
             n_failed += 1
             lost += len(line) - sum(map(line.count, " \t\v\f\r"))
         else:

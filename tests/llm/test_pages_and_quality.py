@@ -136,6 +136,65 @@ def test_line_rules(line, kind):
     assert line_quality.line_fails(line, line_quality.LineRules()) == kind
 
 
+PROSE_BY_SCRIPT = {
+    "ja": "港は静かで、最初の船が入ってきたとき、岸壁の誰もささやき声より大きな声では話さなかった。",
+    "zh": "第一批船只进港时，港口十分安静，码头上没有人大声说话，只有一名职员在清点橙子的箱数。",
+    "th": "ท่าเรือเงียบสงบเมื่อเรือลำแรกเข้ามาและไม่มีใครบนท่าเรือพูดเสียงดังกว่าเสียงกระซิบจนกระทั่งฝนเริ่มตกในตอนเย็น",
+    "hi": " ".join(["बंदरगाह शांत था जब पहली नावें आईं और घाट पर किसी ने फुसफुसाहट से ऊपर बात नहीं की"] * 3) + "।",
+    "ar": "كان الميناء هادئا عندما دخلت القوارب الأولى، ولم يتحدث أحد على الرصيف بصوت أعلى من الهمس.",
+    "el": "Το λιμάνι ήταν ήσυχο όταν μπήκαν οι πρώτες βάρκες, και κανείς δεν μιλούσε δυνατά.",
+    "fr": "Le port était calme, « trop calme », quand les premiers bateaux sont entrés à l’aube.",
+}
+MENUS = {"ja": ["ホーム", "会社概要", "お問い合わせ", "採用情報"], "zh": ["首页", "产品中心", "联系我们"],
+         "hi": ["मुखपृष्ठ", "हमारे बारे में", "संपर्क"], "ar": ["الرئيسية", "من نحن", "اتصل بنا"],
+         "th": ["หน้าแรก", "ติดต่อเรา", "เกี่ยวกับเรา"], "fr": ["Actualités", "Boutique", "Météo"]}
+
+
+@pytest.mark.parametrize("script", sorted(PROSE_BY_SCRIPT))
+def test_prose_of_every_script_stays_and_its_menus_go(script):
+    rules, prose = line_quality.LineRules(), PROSE_BY_SCRIPT[script]
+    assert line_quality.line_fails(prose, rules) is None
+    whole = "\n".join(f"{prose}{k}" if script == "th" else prose.replace(prose[-1], f"{k}{prose[-1]}") for k in range(30))
+    judged = line_quality.judge(whole, rules)
+    assert judged["n_failed_lines"] == 0 and judged["cleaned"] == whole
+    menu = MENUS.get(script)
+    if menu:
+        judged = line_quality.judge("\n\n".join([*menu, prose, menu[0]]), rules)
+        assert judged["cleaned"].strip("\n") == f"{prose}\n\n{menu[0]}" and judged["n_failed_lines"] == len(menu)
+
+
+def test_headings_stay():
+    text = f"Chapter Two\n\n{PARAGRAPHS[0]}\n\nThe Harbour\nA quiet morning\n{PARAGRAPHS[2]}"
+    judged = line_quality.judge(text, line_quality.LineRules())
+    assert judged["n_failed_lines"] == 0 and judged["cleaned"] == text
+
+
+def slow_verdict(text, rules):
+    """Lost characters told line by line, each entry by looking both ways."""
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\v\f\r")]
+    kinds = [line_quality.line_fails(x, rules) for x in lines]
+    menu = [k in ("entry", "navigation") for k in kinds]
+    lost = 0
+    for at, (line, kind) in enumerate(zip(lines, kinds)):
+        low = high = at
+        while low > 0 and menu[low - 1]:
+            low -= 1
+        while high + 1 < len(lines) and menu[high + 1]:
+            high += 1
+        if kind not in ("entry", None) or menu[at] and high - low + 1 >= rules.entries:
+            lost += len(re.sub(r"[ \t\v\f\r]", "", line))
+    n_words, chars, _, _, _, failed = slow_judge(text)
+    return not failed and 100 * lost <= rules.lost_percent * chars
+
+
+def test_verdict_equals_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rules = line_quality.LineRules()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.kept for r in line_quality.judge_documents(docs, cleaned=False).collect()}
+    assert got == {i: slow_verdict(t, rules) for i, t in texts.items()} and any(got.values())
+
+
 def test_document_that_loses_too_much_goes():
     good = "The clerk counted the crates, wrote down the sum, and went home before the rain came."
     bad = "Home | News | Sport | Weather | Login | Shop | Jobs"
