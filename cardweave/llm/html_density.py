@@ -50,11 +50,16 @@ _OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice alert popup modal newsletter "
     "subscribe signup login share sharing social related recommended comment comments disqus pagination pager "
-    "toolbar widget skip".split())
+    "toolbar widget skip adsbygoogle advertising".split())
 _BOX_WORDS = frozenset(
     "site main top bottom left right primary secondary global header page bar box area list link links item items "
-    "container wrap wrapper block section inner outer button buttons icons posts form unit slot title".split())
+    "container wrap wrapper block section inner outer button buttons icons posts form unit slot title large small "
+    "medium wide narrow mini".split())
 _COMMENTS = frozenset("comment comments disqus".split())
+# Words before such a word that make it tell how the page is laid out, not what the element is.
+_LAYOUT_WORDS = frozenset("has have no not with without hide hides show shows is content article post entry".split())
+# What a header may be called that is the page's and not the article's.
+_PAGE_WORDS = frozenset("site page main global top app web mobile desktop sticky fixed primary secondary".split())
 # The kinds of elements that are cut.
 _FORM, _NAMED, _REMARKS, _CERTAIN = 1, 2, 3, 4
 
@@ -147,13 +152,24 @@ def parse(page: str) -> Node:
     return root
 
 
-def _names(value: str) -> int:
-    """The kind that class or id names tell: a name counts if all its parts are known words."""
+def _names(value: str, in_article: bool) -> int:
+    """The kind that class or id names tell.
+
+    A name counts if all its parts are known words, or if the last one that is no word for a box is
+    one of such a part (``reader-comments``, ``google-ad-slot``), unless a word before it tells of a
+    layout (``has-sidebar``). ``header`` counts outside articles, if the words before it are the page's.
+    """
     kind = 0
     for name in value.split():
-        parts = {x for x in re.split("[-_]+", name) if x}
-        if parts & _OUTSIDE_WORDS and parts <= _OUTSIDE_WORDS | _BOX_WORDS and parts != {"skip"}:
-            kind = max(kind, _REMARKS if parts & _COMMENTS else _NAMED)
+        parts = [x.lower() for x in re.split("[-_]+|(?<=[a-z])(?=[A-Z])", name) if x]
+        own = set(parts)
+        if parts[-1:] == ["header"] and not in_article and own - {"header"} <= _PAGE_WORDS:
+            kind = max(kind, _NAMED)
+        whole = own & _OUTSIDE_WORDS and own <= _OUTSIDE_WORDS | _BOX_WORDS and own != {"skip"}
+        while parts and parts[-1] in _BOX_WORDS:
+            parts.pop()
+        if whole or parts and parts[-1] in _OUTSIDE_WORDS and not _LAYOUT_WORDS & set(parts[:-1]) and own != {"skip"}:
+            kind = max(kind, _REMARKS if own & _COMMENTS else _NAMED)
     return kind
 
 
@@ -167,14 +183,15 @@ def _kind(node: Node, in_article: bool) -> int:
     for name, value in _ATTRIBUTE.findall(node.attributes):
         if value[:1] in ("'", '"'):
             value = value[1:].removesuffix(value[0])
-        name, value = name.lower(), html.unescape(value).lower()
+        name, given = name.lower(), html.unescape(value)
+        value = given.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return _CERTAIN
         if name == "role" and _OUTSIDE_ROLES & set(value.split()):
             kind = max(kind, _NAMED)
         elif name in ("class", "id"):
-            kind = max(kind, _names(value))
+            kind = max(kind, _names(given, in_article))
     return kind
 
 

@@ -14,6 +14,33 @@ PARAGRAPHS = ["A first paragraph that has quite some words, as articles do.", "S
 BODY = "".join(f"<p>{p.replace('&', '&amp;')}</p>" for p in PARAGRAPHS)
 
 
+@pytest.mark.parametrize("outer", ["<article>{}</article>{}", "<main>{}</main>{}", "<div class=post>{}</div>{}"])
+@pytest.mark.parametrize("name", [
+    "site-header", "header", "page-header", "siteHeader", "main_header", "reader-comments", "user-comments", "readerComments",
+    "google-ad", "adsbygoogle", "google-ad-slot", "top-ad-unit", "sticky-banner", "col-sidebar", "blog-sidebar left", "js-nav",
+    "cookie-notice", "gdpr-consent", "newsletter-signup", "social-share", "related-posts", "footer-links", "mega-menu",
+    "promo__banner--large", "disqus_thread comments", "site-footer", "mobile-nav", "email-popup", "page-breadcrumbs"])
+def test_parts_by_compound_names_are_cut(name, outer):
+    """Before or behind the article, with and without article and main, as class and as id."""
+    extra = f"<div class='{name}'><p>SITE NAME and what else stands there.</p></div>"
+    for page in (extra + outer.format(BODY, ""), outer.format(BODY, extra), outer.format(BODY, extra.replace("class", "id"))):
+        assert html_density.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("name", [
+    "content-sidebar-wrap", "layout has-sidebar", "no-sidebar single-post", "comments-open post", "with-ads", "article-header-less",
+    "post-content", "header-offset", "page-wrapper", "col-main", "story", "site-header", "google-ad", "reader-comments"])
+def test_names_do_not_cut_what_holds_the_article(name):
+    for inner in (f"<article>{BODY}</article>", f"<main>{BODY}</main>"):
+        assert html_density.main_text(f"<body><div class='{name}'>{inner}</div></body>") == "\n\n".join(PARAGRAPHS)
+
+
+def test_an_article_keeps_its_own_header():
+    for name in ("header", "entry-header", "post-header", "article-header"):
+        page = f"<body><article><div class='{name}'><h1>The Title</h1></div>{BODY}</article></body>"
+        assert html_density.main_text(page) == "\n\n".join(["The Title", *PARAGRAPHS])
+
+
 @pytest.mark.parametrize("page", [
     f"<html><body><nav><a href=/>Home</a></nav><article>{BODY}</article><footer>Imprint</footer></body></html>",
     f"<body><div class='page'><div class='sidebar'><a href=a>One</a></div><div class=post>{BODY}</div></div>",
