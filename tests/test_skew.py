@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cardweave.operators.ordered import Running, asof_join, numbered, running
 from cardweave.operators.lookups import flag_duplicates, with_node
+from cardweave.operators.matching import match, matching_index, salted_join
 from cardweave.operators.processors import to_card_transaction, to_message_processed
 from cardweave.operators.replay import history_state, replay
 from cardweave.session import materialize
@@ -131,3 +132,70 @@ def test_numbers_follow_the_order(spark):
     rows = spark.range(300).select((F.col("id") * 37 % 300).alias("n"))
     out, count = numbered(rows, ["n"], "at", rows_per_piece=40)
     assert count == 300 and out.where("at <> n").isEmpty() and out.count() == 300
+
+
+def _slow_match(requests, index):
+    """Newest index row under the best tag set a request shares, looked for request by request."""
+    import itertools
+    from cardweave.operators.matching import exploded_tag_sets
+    asked = exploded_tag_sets(requests, "process_id").collect()
+    by_key = {}
+    for row in index.where("tag_set is not null").collect():
+        by_key.setdefault((row["card_token"], row["tag_set"], row["signature"]), []).append(
+            (row["timestamp"], row["transaction_id"]))
+    found = {}
+    for process_id, rows in itertools.groupby(sorted(asked, key=lambda r: r["process_id"]), lambda r: r["process_id"]):
+        hits = [(r["priority"], max(by_key[k])[1]) for r in rows
+                if (k := (r["card_token"], r["tag_set"], r["signature"])) in by_key]
+        found[process_id] = min(hits)[1] if hits else None
+    return found
+
+
+@pytest.mark.parametrize("limit,broadcast_asked", [(1_000_000, 1_000_000), (1_000_000, 0), (20, 1_000_000), (20, 0)])
+def test_match_against_brute_force(spark, folder, limit, broadcast_asked):
+    """A third of the requests ask under one key, which also has many index rows; all ways agree."""
+    rows = derived.messages(spark, folder).where("debit_card_id < 'C-12'").withColumn(
+        "timestamp", F.col("transaction_date_time"))
+    busy = F.pmod(F.hash("process_id"), F.lit(3)) == 0
+    rows = rows.withColumns({
+        "card_token": F.when(busy, "TK-hot").otherwise(F.col("card_token")),
+        "message": F.when(busy, F.col("message").withField("token", F.lit("TK-hot")).withField(
+            "trans_link", F.lit("hot"))).otherwise(F.col("message"))})
+    index = matching_index(rows.where("job = 'authorisation'").withColumnRenamed("message", "request"))
+    requests = rows.where("job <> 'authorisation'").drop("transaction_id")
+    out = match(requests, index, required=True, limit=limit, broadcast_asked=broadcast_asked)
+    expected = _slow_match(requests, index)
+    got = {r["process_id"]: r["matched_id"] for r in out.select("process_id", "matched_id").collect()}
+    assert len(got) == requests.count() and sum(v is not None for v in got.values()) > 100
+    assert got == {p: expected.get(p) for p in got}
+
+
+def test_match_deals_a_hot_key_over_many_tasks(spark):
+    """One key of a third of the rows: no part of the salted join holds more than its share."""
+    asked = spark.range(3000).select(
+        F.concat(F.lit("p"), F.col("id")).alias("process_id"), F.lit(0).alias("priority"),
+        F.lit(7).cast("long").alias("key_hash"), F.lit(8).cast("long").alias("key_check"))
+    entries = spark.createDataFrame([(7, 8, "T")], "key_hash long, key_check long, matched_id string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        joined = salted_join(asked, entries, 64)
+        parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(parts) == 3000 and len(parts) > 12 and max(parts) < 600
+
+
+def test_match_of_nothing(spark, folder):
+    rows = derived.messages(spark, folder).withColumn("timestamp", F.col("transaction_date_time"))
+    index = matching_index(rows.withColumnRenamed("message", "request"))
+    requests = rows.where("job = 'presentment'").drop("transaction_id")
+    assert match(requests.limit(0), index, required=True).isEmpty()
+    alone = match(requests, index.limit(0), required=False)
+    assert alone.count() == requests.count() and alone.where("transaction_id <> process_id").isEmpty()
+    lost = match(requests.withColumn("card_token", F.lit(None).cast("string")), index, required=True)
+    assert lost.where("error is null").isEmpty() and lost.count() == requests.count()
