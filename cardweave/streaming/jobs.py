@@ -22,6 +22,7 @@ from cardweave.schemas import (
 from cardweave.session import materialize
 from cardweave.sources import envelope, sinks
 from cardweave.sources.runs import KeyedTable, Snapshot, Store
+from cardweave.sources.topic_log import publish_log
 from cardweave.sources.topics import EVENT_NAME, RESULT_TOPIC, error_topic, request_topic, response_topic
 
 # sends topic records: name of the output, rows, batch number
@@ -162,6 +163,11 @@ def _events(outcome: Outcome) -> DataFrame:
     return out
 
 
+def to_log(path: str) -> Publish:
+    """Publish events, commands and errors to a log of topics; a batch done again adds nothing twice."""
+    return lambda name, rows, batch_id: publish_log(rows, path, name, batch_id)
+
+
 def run_stream(records: DataFrame, job: Job, checkpoint: str,
                publish: Publish | None = None) -> StreamingQuery:
     """Process all records that a stream has (key, value, topic, headers), then stop.

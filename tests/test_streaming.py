@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from cardweave.schemas import STORED_HISTORY, TRANSACTION_INFO
 from cardweave.sources import derived, envelope
 from cardweave.sources.readers import read_table, read_topics
+from cardweave.sources.topic_log import publish_log, read_log
 from cardweave.sources.topics import request_topic
-from cardweave.streaming.jobs import Job, process_batch, run_stream
+from cardweave.streaming.jobs import Job, process_batch, run_stream, store_of, to_log
 
 CUT = "1998-06-01 00:00:00"
 STATE = ["process_id", "transaction_id", "provider_message_id", "message_type", "client_amount",
@@ -139,3 +140,19 @@ def test_undecodable_records_reach_the_error_topic(spark, folder, records, tmp_p
     process_batch(records.drop("at").limit(20).unionByName(bad), 0, job)
     errors = spark.read.json(job.path("errors")).where("topic = 'cards.chargeback.error'")
     assert errors.where("value like '%not json%undecodable_event%'").count() == 1
+
+
+def test_stream_from_log_to_log(spark, folder, records, tmp_path):
+    """Requests come from a log of topics and answers go to one; a batch lost before its snapshot is sent once."""
+    job, log, out = make_job(spark, folder, tmp_path / "state"), str(tmp_path / "log"), str(tmp_path / "out")
+    requests = records.where(F.col("topic") == request_topic("authorisation")).drop("at").limit(20)
+    publish_log(requests, log, "producer", 0)
+    query = run_stream(read_log(spark, log, [request_topic("authorisation")], streaming=True), job,
+                       str(tmp_path / "checkpoint"), to_log(out))
+    assert query.awaitTermination(300) and query.exception() is None
+    answers = read_log(spark, out, ["cards.authorisation.response"])
+    assert answers.count() == 20 and store_of(spark, job).snapshot().batch == 0
+    before = read_log(spark, out).count()
+    # the same batch by a job that has lost its snapshot
+    process_batch(read_log(spark, log), 0, replace(job, root=str(tmp_path / "other")), to_log(out))
+    assert read_log(spark, out).count() == before > 20
