@@ -132,7 +132,11 @@ def linked_account_asof(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_check(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message against the history of all messages stored up to a day."""
+    """Every message against the history of all messages stored up to a day.
+
+    The history stands for what was stored when the later messages came; were it whole,
+    every message would find itself there and none would be new.
+    """
     return lookups.flag_duplicates(
         derived.messages(spark, folder), derived.stored_history(spark, folder, until=derived.CUT),
     ).select("process_id", "transaction_id", "provider_message_id", "is_duplicate")
