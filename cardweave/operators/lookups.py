@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from cardweave.operators.ordered import WINDOW_ROWS, Running, asof_join, numbere
 
 AUTHORISATION_TYPES = ("AUTHORISATION",)
 BROADCAST_NODES = 10_000
+TASK_ROWS = 500_000     # some 600 MB sorted
 
 
 def requested_history(messages: DataFrame, history: DataFrame) -> DataFrame:
@@ -20,12 +22,18 @@ def requested_history(messages: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def history_lookup(messages: DataFrame, history: DataFrame, newest_first: Sequence[str],
-                   limit: int = WINDOW_ROWS) -> DataFrame:
+                   limit: int = WINDOW_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
     """History of the messages' transactions, numbered from the newest row (position 1).
 
     Each history row appears once, whatever the number of messages asking for
     it, so a busy transaction costs its own size and not messages times rows.
+    A task sorts whole rows; so above the session's number of partitions there is
+    one for every ``task_rows`` rows, and what a task holds does not grow with the history.
     """
+    parts = ceil(history.count() / task_rows)
+    if parts > int(history.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        history = history.repartition(parts, "transaction_id")
+        messages = messages.select("transaction_id").repartition(parts, "transaction_id")
     return running(requested_history(messages, history), ["transaction_id"], newest_first,
                    {"position": Running("sum", F.lit(1))}, limit)
 

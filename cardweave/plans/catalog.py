@@ -99,7 +99,7 @@ def match_optional(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def history_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return lookups.history_lookup(
-        derived.messages(spark, folder), derived.stored_history(spark, folder),
+        derived.messages(spark, folder), derived.with_slim_message(derived.stored_history(spark, folder)),
         [f"-{c}" for c in RECORDED],
     ).select("transaction_id", "position", "process_id", "message_type", "earmark_amount",
              "client_amount", "wirecard_amount")

@@ -290,6 +290,20 @@ def stored_history(spark: SparkSession, folder: str, without_job: str | None = N
         "'GBP' as wirecard_currency")
 
 
+def with_slim_message(history: DataFrame) -> DataFrame:
+    """History whose ``message`` sorts as the whole one does among rows that have all else in common.
+
+    What the transaction, card, message id and type of a row imply is left out or told by a flag, so
+    that a sort by all columns holds a quarter of the bytes.
+    """
+    m = F.col("message")
+    return history.withColumn("message", F.struct(
+        m["traceid_lifecycle"].isNotNull().alias("traceid_lifecycle"), m["trans_link"].isNotNull().alias("trans_link"),
+        m["auth_code_de38"].alias("auth_code_de38"), m["acquirer_reference_data_031"].isNotNull().alias("acquirer"),
+        m["pos_time_de12"].alias("pos_time_de12"), m["txn_type"].alias("txn_type"),
+        m["txn_stat_code"].alias("txn_stat_code")))
+
+
 def stored_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index entries of the messages of all jobs."""
     return matching_index(messages(spark, folder).withColumnsRenamed({

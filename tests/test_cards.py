@@ -1,5 +1,8 @@
 """A batch settled in one pass per card gives what the rounds give, without any round."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardweave.plans import flow
@@ -38,3 +41,20 @@ def test_usual_cards_need_no_round(spark, folder, monkeypatch):
     monkeypatch.setattr(flow, "_settle", no_rounds)
     requests = derived.end_to_end_requests(spark, folder)
     assert flow.settle_by_card(requests, stored_tables(spark, folder)).count() == requests.count()
+
+
+def test_a_slim_message_sorts_as_the_whole_one(spark, folder):
+    from cardweave.operators.lookups import history_lookup
+    history = derived.stored_history(spark, folder).where("transaction_id in (1, 2, 3, 5, 7, 32, 33, 34)")
+    m = F.col("message")
+    odd = reduce(DataFrame.unionByName, [history.where(f"type_rank = {rank}").withColumn("message", m.withField(
+        name, value)).withColumn("earmark_amount", F.col("earmark_amount") + number) for number, (rank, name, value) in
+        enumerate([(3, "traceid_lifecycle", F.lit(None).cast("string")), (4, "auth_code_de38", F.lit("000000")),
+                   (4, "auth_code_de38", F.lit(None).cast("string")), (4, "txn_type", F.lit("A")),
+                   (1, "acquirer_reference_data_031", F.lit(None).cast("string"))])])
+    stored = history.unionByName(odd).localCheckpoint()
+    slim = derived.with_slim_message(stored)
+    assert len(slim.schema["message"].dataType.fields) < len(stored.schema["message"].dataType.fields)
+    order = ["-timestamp", "-type_rank", "-process_id"]
+    whole, thin = [history_lookup(stored, h, order).drop("message").collect() for h in (stored, slim)]
+    assert len(whole) > 8 and sorted(map(str, whole)) == sorted(map(str, thin))
