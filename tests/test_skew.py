@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from cardweave.operators.ordered import Running, asof_join, numbered, running
 from cardweave.operators.lookups import flag_duplicates, with_node
-from cardweave.operators.matching import match, matching_index, salted_join
+from cardweave.operators.matching import (
+    TAG_FIELDS, Unexploded, exploded_tag_sets, match, matching_index, salted_join)
 from cardweave.operators.processors import to_card_transaction, to_message_processed
 from cardweave.operators.replay import history_state, replay
 from cardweave.session import materialize
@@ -199,3 +200,50 @@ def test_match_of_nothing(spark, folder):
     assert alone.count() == requests.count() and alone.where("transaction_id <> process_id").isEmpty()
     lost = match(requests.withColumn("card_token", F.lit(None).cast("string")), index, required=True)
     assert lost.where("error is null").isEmpty() and lost.count() == requests.count()
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 20])
+def test_match_by_card_against_brute_force(spark, limit):
+    """An unexploded index: all keys of a card in one task, cards above the limit by key; ids repeat or are null."""
+    fields = [f"{n} string" for n in ("token", *TAG_FIELDS)]
+    kind = f"struct<{', '.join(f.replace(' ', ':') for f in fields)}>"
+
+    def message(card, n):
+        return (card, f"T-{n % 7}" if n % 3 else None, f"L-{n % 5}", f"{n % 2}" if n % 4 else None, "AR", "826", "d", f"R-{n % 3}")
+
+    cards = [None if n % 11 == 0 else "hot" if n % 2 else f"c{n % 13}" for n in range(300)]
+    assert len(message("c", 1)) == len(fields)
+    stored = spark.createDataFrame(
+        [(None if n % 17 == 0 else f"t{n % 40}", None if n % 19 == 0 else message(cards[n], n), n % 9, f"m{n % 90}") for n in range(300)],
+        f"transaction_id string, request {kind}, at int, process_id string")
+    requests = spark.createDataFrame(
+        [(None if n % 23 == 0 else f"p{n % 70}", cards[n], message(cards[n], n + 1)) for n in range(90)],
+        f"process_id string, card_token string, message {kind}")
+    recorded = ["at", "process_id"]
+    index = matching_index(stored, recorded)
+    newest = {}
+    for r in index.where("error is null and card_token is not null").collect():
+        key = r["card_token"], r["tag_set"], r["signature"]
+        newest[key] = max(newest.get(key, (-1,)), (r["at"], r["process_id"], r["transaction_id"]))
+    best = {}
+    for r in exploded_tag_sets(requests, "process_id").collect():
+        key = r["card_token"], r["tag_set"], r["signature"]
+        if r["process_id"] is not None and key in newest:
+            best.setdefault(r["process_id"], {}).setdefault(r["priority"], set()).add(newest[key][2])
+    out = match(requests, Unexploded(stored, tuple(recorded)), required=True, recorded=recorded, limit=limit, broadcast_asked=0)
+    rows = out.select("process_id", "matched_id").collect()
+    assert len(rows) == 90
+    for process_id, matched in rows:
+        assert matched in (best[process_id][min(best[process_id])] if process_id in best else {None})
+    assert len({m for _, m in rows}) > 5
+
+
+def test_match_by_card_moves_a_message_once(spark, folder):
+    """One exchange for all tag sets of an index of messages, and no copy of what is asked for."""
+    rows = derived.messages(spark, folder)
+    requests = rows.where("job = 'presentment'").drop("transaction_id")
+    index = derived.stored_index(spark, folder)
+    out = match(requests, index, required=False, recorded=derived.RECORDED, broadcast_asked=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(key_hash" not in plan and "ExistingRDD" not in plan
+    assert plan.count("hashpartitioning(card_token") == 1
