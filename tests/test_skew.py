@@ -8,7 +8,7 @@ from cardweave.operators.ordered import Running, asof_join, numbered, running
 from cardweave.operators.lookups import flag_duplicates, with_node
 from cardweave.operators.matching import (
     TAG_FIELDS, Unexploded, exploded_tag_sets, match, matching_index, salted_join)
-from cardweave.operators.processors import to_card_transaction, to_message_processed
+from cardweave.operators.processors import process_requests, to_card_transaction, to_message_processed
 from cardweave.operators.replay import history_state, replay
 from cardweave.session import materialize
 from cardweave.sources import derived
@@ -247,3 +247,14 @@ def test_match_by_card_moves_a_message_once(spark, folder):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(key_hash" not in plan and "ExistingRDD" not in plan
     assert plan.count("hashpartitioning(card_token") == 1
+
+
+def test_history_of_a_job_is_dealt_by_its_rows(spark, folder):
+    """More history, more tasks; the result stays."""
+    requests = derived.external_authorisations(spark, folder).drop("message")
+    history = derived.stored_history(spark, folder, "externally_authorised")
+    few = process_requests("externally_authorised", requests, history, derived.RECORDED)
+    many = process_requests("externally_authorised", requests, history, derived.RECORDED, task_rows=500)
+    assert "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    same(few, many)
