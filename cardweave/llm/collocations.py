@@ -1,12 +1,12 @@
 """Phrase collocation mining with weighted acyclic automata.
 
-1. Texts are packed, where they lie, into shards of some megabytes of one language.
+1. Texts are packed, where they lie, into compressed shards of some megabytes of one language.
 2. A shard counts the cells, hashes of a width that follows the input, of its
    sequences of one to four words. Cells are summed in buckets, and a shard learns
    which of its cells reach the least count. No sequence that reaches it is lost.
 3. A shard gives the words and counts of its sequences in such cells, exactly.
-4. These come sorted, a range of beginnings a task, into automata that add up the
-   counts of all shards; what misses the least count now goes.
+4. These go sorted, in compressed blocks by range of beginnings, into automata that
+   add up the counts of all shards; what misses the least count now goes.
 5. Candidates' parts are sent to the automata of their ranges and composed with them.
 """
 
@@ -40,14 +40,19 @@ CELL_BITS = 4
 #: Phrases of an automaton, rows of counts that a task unites, and requests that a task composes.
 AUTOMATON_PHRASES = 1 << 16
 RANGE_ROWS = 1 << 19
+#: Rows of counts by which the edges of a range are chosen, on average; the edges decide sizes alone.
+RANGE_SAMPLE = 32
 REQUESTS = 1 << 17
 
 # What ends a piece, and what parts words.
 _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _CLASSES = bytes(10 if c in _ENDS else 32 if c in _BLANKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-_SHARD = "shard long, lang string, text binary"
+_SHARD = "shard long, lang string, size long, text binary"
+_CODEC = "zstd"
 _COUNTS = "lang string, words array<string>, f long"
+_KEYS = "lang string, key binary, f long"
+_BLOCK = "range int, lang string, n long, size long, block binary"
 _AUTOMATON = "lang string, first array<string>, vocabulary array<string>, arcs binary, finals binary, weights binary"
 
 
@@ -59,8 +64,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def shard(lang: str, texts: list[bytes]) -> pa.RecordBatch:
         nonlocal number
         number += 1
-        return pa.RecordBatch.from_arrays([pa.array([number - 1], pa.int64()), pa.array([lang], pa.string()),
-                                           pa.array([b"\n".join(texts)], pa.binary())], names=["shard", "lang", "text"])
+        text = b"\n".join(texts)
+        # Stored once and shuffled once: in a closer codec than Spark's own.
+        return pa.RecordBatch.from_arrays([
+            pa.array([number - 1], pa.int64()), pa.array([lang], pa.string()), pa.array([len(text)], pa.int64()),
+            pa.array([pa.compress(text, _CODEC, asbytes=True)], pa.binary())], names=["shard", "lang", "size", "text"])
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             texts, size = open_.get(lang, ([], 0))
@@ -80,6 +88,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield shard(lang, texts)
 
 
+def _text(size: pa.Int64Scalar, text: pa.BinaryScalar) -> bytes:
+    return pa.decompress(text.as_buffer(), size.as_py(), _CODEC, asbytes=True)
+
+
 def _words(text: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words; by word its number and its piece."""
     data = np.frombuffer(text.translate(_CLASSES), np.uint8)
@@ -153,8 +165,9 @@ def _send(bits: int, bucket_bits: int) -> Callable[[Iterator[pa.RecordBatch]], I
     """Cells of each shard with their counts, by bucket."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, lang, text in zip(*(batch.column(i) for i in range(3))):
-                every = np.concatenate([c for _, c in _cells(lang.as_py(), *_words(text.as_py()), bits)])
+            for number, lang, size, text in zip(*(batch.column(i) for i in range(4))):
+                words = _words(_text(size, text))
+                every = np.concatenate([c for _, c in _cells(lang.as_py(), *words, bits)])
                 cells, counts = np.unique(every, return_counts=True)
                 cuts = _cuts(cells, bits, bucket_bits)
                 full = np.flatnonzero(np.diff(cuts)).tolist()
@@ -182,19 +195,28 @@ def _answer(least: int, bits: int) -> Callable[[pa.Table], pa.Table]:
     return answer
 
 
+def _escaped(names: pa.Array) -> pa.Array:
+    """Words without zero bytes, which part the words of a key; keys are then in the order of their lists of words."""
+    return pc.replace_substring(pc.replace_substring(names.cast(pa.binary()), b"\x01", b"\x01\x02"), b"\x00", b"\x01\x01")
+
+
+def _listed(key: bytes) -> list[str]:
+    if b"\x01" in key:
+        return [w.replace(b"\x01\x01", b"\x00").replace(b"\x01\x02", b"\x01").decode() for w in key.split(b"\x00")]
+    return key.decode().split("\x00") if key else []
+
+
 def _phrases(names: pa.Array, lang: str, sequences: list[np.ndarray], counts: np.ndarray) -> pa.Table:
     """Rows of counts; ``sequences`` has the word numbers by place in the sequence."""
-    n, length = len(counts), len(sequences)
-    flat = names.take(pa.array(np.stack(sequences, axis=1).reshape(-1))) if n else pa.array([], pa.large_binary())
-    words = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * length, pa.int32()), flat.cast(pa.binary()).cast(pa.string()))
-    return pa.table({"lang": pa.array([lang] * n, pa.string()), "words": words, "f": pa.array(counts, pa.int64())})
+    keys = pc.binary_join_element_wise(*(names.take(pa.array(s, pa.int64())) for s in sequences), b"\x00")
+    return pa.table({"lang": pa.array([lang] * len(counts), pa.string()), "key": keys, "f": pa.array(counts, pa.int64())})
 
 
 def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Sequences of a shard whose cells reach the least count, with their counts there."""
     def exact(shard: pa.Table, answers: pa.Table) -> pa.Table:
         lang = shard.column("lang")[0].as_py()
-        names, word, piece = _words(shard.column("text")[0].as_py())
+        names, word, piece = _words(_text(shard.column("size")[0], shard.column("text")[0]))
         found = _cells(lang, names, word, piece, bits)
         cells, which = _ranked(np.concatenate([c for _, c in found]), bits)
         which = np.split(which, np.cumsum([len(at) for at, _ in found])[:-1])
@@ -203,8 +225,8 @@ def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             n = cuts[bucket + 1] - cuts[bucket]
             enough[cuts[bucket]:cuts[bucket + 1]] = np.unpackbits(np.frombuffer(own, np.uint8), count=n)
         # The words of the shard as a phrase without words: how many there are in all.
-        out = [pa.table({"lang": pa.array([lang], pa.string()), "words": pa.array([[]], pa.list_(pa.string())),
-                         "f": pa.array([len(word)], pa.int64())})]
+        out = [pa.table({"lang": pa.array([lang], pa.string()), "key": pa.array([b""]), "f": pa.array([len(word)], pa.int64())})]
+        names = _escaped(names)
         before, number = None, np.zeros(0, np.int64)
         small = len(word) < 1 << 21  # then a number, a word and a place fit 64 bits
         for length, (at, own) in enumerate(zip([at for at, _ in found], which), 1):
@@ -220,9 +242,8 @@ def _exact(bits: int, bucket_bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             out.append(_phrases(names, lang, [word[first + k] for k in range(length)], np.bincount(same, minlength=len(distinct))))
             before, number = np.zeros(len(word) + 1, bool), np.zeros(len(word) + 1, np.int64)
             before[at], number[at] = True, same
-        found = pa.concat_tables(out).combine_chunks()
         # In order, so that neighbours share their beginnings.
-        return found.take(pc.sort_indices(pc.binary_join(found.column("words"), " ")))
+        return pa.concat_tables(out).sort_by("key")
     return exact
 
 
@@ -239,43 +260,51 @@ def _loaded(row: dict) -> CountTransducer:
                            np.frombuffer(row["finals"], bool), np.frombuffer(row["weights"], "<i8"))
 
 
-def _unite(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Automata of the sorted sequences of all shards, with their counts added up."""
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        builder, first, now = Builder(), [], None
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            if len(builder):
-                yield _automaton(now, first, builder.done())
-
-        def finished(lang: str, words: list[str], f: int) -> Iterator[pa.RecordBatch]:
-            nonlocal builder, first, now
-            if now is None or now != lang or len(builder) >= AUTOMATON_PHRASES:
-                yield from flushed()
-                builder, first, now = Builder(), words, lang
-            builder.add(tuple(words), f)
-        last = None  # (key, language, words, count so far) of the sequence under way
+def _blocks(edges: list[tuple[str, bytes]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of counts of one shard and range in a row, compressed."""
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = pc.binary_join_element_wise(batch.column(0), pc.binary_join(batch.column(1), " "), "\t")
-            new = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
-            sums = np.add.reduceat(batch.column(2).to_numpy(), starts)
-            if last is not None and last[0] == keys[0].as_py():
-                sums[0] += last[3]
-            elif last is not None and (last[3] >= least or not last[2]):
-                yield from finished(*last[1:])
-            langs, words = batch.column(0), batch.column(1)
-            empty = pc.list_value_length(words).to_numpy(zero_copy_only=False)[starts] == 0
-            own = starts[:-1][(sums[:-1] >= least) | empty[:-1]]
-            kept = sums[:-1][(sums[:-1] >= least) | empty[:-1]]
-            at = pa.array(own)
-            for row in zip(langs.take(at).to_pylist(), words.take(at).to_pylist(), kept.tolist()):
-                yield from finished(*row)
-            end = int(starts[-1])
-            last = keys[end].as_py(), langs[end].as_py(), words[end].as_py(), int(sums[-1])
-        if last is not None and (last[3] >= least or not last[2]):
-            yield from finished(*last[1:])
-        yield from flushed()
+            langs, keys, f = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            new = pc.or_(pc.not_equal(langs[1:], langs[:-1]), pc.less(batch.column(1)[1:], batch.column(1)[:-1]))
+            bounds = [0, *(np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1).tolist(), len(keys)]
+            rows = []
+            for start, stop in zip(bounds, bounds[1:]):
+                lang = langs[start].as_py()
+                range_ = bisect.bisect_right(edges, (lang, keys[start]))
+                while start < stop:
+                    if range_ < len(edges) and edges[range_] <= (lang, keys[stop - 1]):
+                        end = bisect.bisect_left(keys, edges[range_][1], start, stop)
+                    else:
+                        end = stop
+                    if end > start:
+                        block = _packed(f[start:end]) + b"\n".join(keys[start:end])
+                        rows.append((range_, lang, end - start, len(block), pa.compress(block, _CODEC, asbytes=True)))
+                    start, range_ = end, range_ + 1
+            kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                             names=["range", "lang", "n", "size", "block"])
+    return blocks
+
+
+def _unite(least: int) -> Callable[[pa.Table], pa.Table]:
+    """Automata of a range's sequences, with the counts of all shards added up."""
+    def unite(table: pa.Table) -> pa.Table:
+        langs: dict[str, list[pa.Table]] = {}
+        for lang, n, size, block in zip(*(table.column(c) for c in ("lang", "n", "size", "block"))):
+            data = _text(size, block)
+            end = 1 + data[0] * n.as_py()
+            langs.setdefault(lang.as_py(), []).append(pa.table({
+                "key": pa.array(data[end:].split(b"\n"), pa.binary()), "f": pa.array(_unpacked(data[:end]).astype(np.int64))}))
+        out = []
+        for lang, counts in langs.items():
+            rows = pa.concat_tables(counts).group_by("key").aggregate([("f", "sum")]).rename_columns({"f_sum": "f"})
+            rows = rows.filter(pc.or_(pc.greater_equal(rows.column("f"), least), pc.equal(rows.column("key"), b""))).sort_by("key")
+            for at in range(0, rows.num_rows, AUTOMATON_PHRASES):
+                own, builder = rows.slice(at, AUTOMATON_PHRASES), Builder()
+                for key, f in zip(own.column("key").to_pylist(), own.column("f").to_pylist()):
+                    builder.add(tuple(_listed(key)), f)
+                out.append(_automaton(lang, _listed(own.column("key")[0].as_py()), builder.done()))
+        return pa.Table.from_batches(out, _automaton("", [], Builder().done()).schema)
     return unite
 
 
@@ -350,10 +379,14 @@ def phrase_automata(docs: DataFrame, *, lang: str = "lang", text: str = "text",
     shards = stored(shipped(kept.select("lang", F.explode(cut).alias("text"))).mapInArrow(_pack, _SHARD))
     sent = shards.mapInArrow(_send(bits, bucket_bits), "bucket int, shard long, cells binary, counts binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer(least, bits - bucket_bits), "shard long, bucket int, enough binary")
-    counts = stored(shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_exact(bits, bucket_bits), _COUNTS))
-    ranges = max(1, -(-counts.count() // RANGE_ROWS))
-    ordered = counts.repartitionByRange(ranges, "lang", "words").sortWithinPartitions("lang", "words")
-    return stored(ordered.mapInArrow(_unite(least), _AUTOMATON))
+    counts = stored(shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_exact(bits, bucket_bits), _KEYS))
+    rows = counts.count()
+    edges: list[tuple[str, bytes]] = []
+    if rows > RANGE_ROWS:
+        some = counts.select("lang", "key").sample(min(1.0, RANGE_SAMPLE / RANGE_ROWS), seed=7)
+        edges = sorted({*sorted((r["lang"], bytes(r["key"])) for r in some.toLocalIterator())[RANGE_SAMPLE::RANGE_SAMPLE]})
+    blocks = counts.mapInArrow(_blocks(edges), _BLOCK)
+    return stored(blocks.groupBy("range").applyInArrow(_unite(least), _AUTOMATON))
 
 
 def _enumerate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

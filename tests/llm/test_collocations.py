@@ -4,6 +4,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from cardweave.llm import collocations
@@ -94,3 +97,49 @@ def test_no_phrases(spark, none):
         df = spark.createDataFrame([("en", text)], "lang string, text string")
         assert got(collocations.mine_collocations(df)) == []
     assert got(collocations.mine_collocations(none, lang="text")) == []
+
+
+def test_texts_and_counts_move_compressed(spark, monkeypatch):
+    kept, stored = {}, collocations.stored
+
+    def noted(df):
+        out = stored(df)
+        kept[frozenset(out.columns)] = out
+        return out
+    monkeypatch.setattr(collocations, "stored", noted)
+    text = " ".join(f"word{k % 90} and{k % 7}" for k in range(900))
+    df = spark.createDataFrame([("en", text)] * 64, "lang string, text string").repartition(64)
+    assert got(collocations.mine_collocations(df)) == slow([("en", text)] * 64)
+    shards = next(d for c, d in kept.items() if {"shard", "text"} <= c)
+    counts = next(d for c, d in kept.items() if {"lang", "f"} <= c)
+    assert shards.selectExpr("sum(octet_length(text))").first()[0] < 64 * len(text) / 2
+    moved = counts.mapInArrow(collocations._blocks([]), collocations._BLOCK).selectExpr("sum(n)", "sum(octet_length(block))").first()
+    assert moved[0] == counts.count() > 10_000 and moved[1] < 10 * moved[0]
+
+
+def test_blocks_of_ranges_hold_every_phrase_once():
+    letters = random.Random(2)
+    shards = [Counter(tuple("".join(letters.choices("\x00\x01\x02aé", k=letters.randint(1, 3))) for _ in range(letters.randint(0, 4)))
+                      for _ in range(400)) for _ in range(3)]
+    batches, keys = [], set()
+    for lang in ("", "de"):
+        for shard in shards:
+            parts = []
+            for p, f in shard.items():
+                names = pa.array([w.encode() for w in p], pa.large_binary())
+                parts.append(collocations._phrases(collocations._escaped(names), lang, [np.array([k]) for k in range(len(p))], [f])
+                             if p else pa.table({"lang": [lang], "key": pa.array([b""]), "f": [f]}))
+            rows = pa.concat_tables(parts).sort_by("key")
+            assert [tuple(collocations._listed(k)) for k in rows.column("key").to_pylist()] == sorted(shard)
+            batches += rows.combine_chunks().to_batches()
+            keys |= {(lang, k) for k in rows.column("key").to_pylist()}
+    edges = sorted(random.Random(3).sample(sorted(keys), 9))
+    blocks = pa.Table.from_batches(list(collocations._blocks(edges)(iter(batches))))
+    found = []
+    for number in sorted(set(blocks.column("range").to_pylist())):
+        own = blocks.filter(pc.equal(blocks.column("range"), number))
+        for row in collocations._unite(1)(own).to_pylist():
+            found += [(row["lang"], p, f) for p, f in collocations._loaded(row).phrases()]
+    total = sum(shards, Counter())
+    assert found == [(lang, p, total[p]) for lang in ("", "de") for p in sorted(total)]
+    assert len(set(blocks.column("range").to_pylist())) == 10
