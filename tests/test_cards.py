@@ -58,3 +58,44 @@ def test_a_slim_message_sorts_as_the_whole_one(spark, folder):
     order = ["-timestamp", "-type_rank", "-process_id"]
     whole, thin = [history_lookup(stored, h, order).drop("message").collect() for h in (stored, slim)]
     assert len(whole) > 8 and sorted(map(str, whole)) == sorted(map(str, thin))
+
+
+def test_usual_messages_are_not_written_out_before_they_move(spark, folder, monkeypatch):
+    def early(*_):
+        raise AssertionError("prepared and written before the messages moved")
+    monkeypatch.setattr(flow, "prepare", early)
+    requests = derived.end_to_end_requests(spark, folder).where("pmod(xxhash64(debit_card_id), 6) = 0")
+    assert flow.settle_by_card(requests, stored_tables(spark, folder)).count() == requests.count()
+
+
+def odd_tables(spark, folder):
+    """Requests and tables with cards that are null, missing or there twice, and accounts of any time."""
+    def odd(df, *names):
+        row = F.pmod(F.xxhash64(*[F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(11))
+        for n, name in enumerate(names):
+            df = df.withColumn(name, F.when(row != n, F.col(name)))
+        return df.unionByName(df.where(row > 8)).localCheckpoint()
+    stored = stored_tables(spark, folder)
+    requests = derived.end_to_end_requests(spark, folder).where("pmod(xxhash64(debit_card_id), 20) = 0")
+    return odd(requests, "debit_card_id", "spend_group", "transaction_date_time", "card_token", "job"), flow.replace(
+        stored, settings=odd(stored.settings, "debit_card_id", "linked_account_id", "card_status"),
+        balances=odd(stored.balances, "account_id", "available"),
+        totals=odd(stored.totals, "debit_card_id", "total_type", "timestamp"),
+        linked_accounts=odd(stored.linked_accounts, "debit_card_id", "from_timestamp", "internal_account_currency"))
+
+
+def test_records_of_a_card_give_what_the_joins_give(spark, folder):
+    from cardweave.operators.authorisation import card_records, from_records
+    from cardweave.operators.cards import GROUP, card_group, card_name, dealt, records_by_group, survey
+    requests, stored = odd_tables(spark, folder)
+    joined = flow.prepare(requests, stored).drop("__row")
+    rows = requests.where("job is not null").withColumn(GROUP, card_group(requests))
+    found = survey(rows, F.lit(None).cast("string")).localCheckpoint()
+    tables = (stored.settings, stored.balances, stored.totals, stored.linked_accounts)
+    records, wide = card_records(*tables)
+    assert wide is None and card_records(*tables, limit=5)[1].count() > 0
+    met = dealt(rows).join(records_by_group(found, records), GROUP, "left").withColumn(
+        "records", F.try_element_at("records", card_name()))
+    by_card = from_records(met, flow.OPENING).select(*joined.columns)
+    assert by_card.count() > rows.count()
+    assert sorted(map(str, by_card.collect())) == sorted(map(str, joined.collect()))
