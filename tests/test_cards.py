@@ -99,3 +99,15 @@ def test_records_of_a_card_give_what_the_joins_give(spark, folder):
     by_card = from_records(met, flow.OPENING).select(*joined.columns)
     assert by_card.count() > rows.count()
     assert sorted(map(str, by_card.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_only_what_is_read_moves_through_the_lookups(spark, folder, monkeypatch):
+    from cardweave.operators import authorisation
+    from cardweave.plans import catalog
+    seen = []
+    for module in (authorisation, catalog):
+        monkeypatch.setattr(module, "written", lambda df: seen.append(df.columns) or df.limit(0))
+    catalog.QUERIES["presentment"](spark, folder)
+    catalog.QUERIES["authorisation"](spark, folder)
+    unread = {"message", "key", "card_token", "provider_transaction_id", "settings", "totals"}
+    assert len(seen) == 2 and not any(unread & set(columns) for columns in seen)
